@@ -1,0 +1,28 @@
+"""Size-checked broadcast of dimension tables.
+
+A side is only marked for broadcast after a bounded count proves it small;
+beyond the bound the plain DataFrame is returned and Spark plans a shuffle join
+(AQE may still switch to a broadcast at runtime from real stage sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def known_small(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Broadcast a DataFrame whose row count is known on the driver without a job
+    (e.g. generated from parameters, such as a calendar)."""
+    return F.broadcast(df) if n_rows <= max_rows else df
