@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
 from ledgerline.params import BusinessHours, RunParams
+from ledgerline.plans import facts
+from ledgerline.plans import snapshot as snap
 from ledgerline.plans import workflow as wf
 from ledgerline.operators.summary import segment_summary
 from ledgerline.sources.fixtures import FixtureSources
@@ -56,6 +58,19 @@ class Ctx:
     def pairs(self) -> DataFrame:
         return self.memo("pairs", lambda: wf.turnaround_pairs(self.spark, self.events(), self.hours))
 
+    # --- pipeline T sources -------------------------------------------------------
+    def snapshot_sources(self) -> snap.SnapshotSources:
+        s = self.src
+        return snap.SnapshotSources(
+            ca=s["ca"], ca_status=s["ca_status"], date_dim=s["date_dim"], dealer=s["dealer"], ams=s["ams"],
+            mk_program=s["mk_program"], funding=s["funding_data"], trans_return=s["trans_return"],
+            delinq_summary=s["delinq_summary"], delinq_detail=s["delinq_detail"], status_log=s["s_c_log"],
+            decisions=s["ino_decisions"], app=s["app"].select(
+                "application_id", "ca_id"), history_t=s["wf_history_t"], ino_c=s["ino_c"], l_def=s["l_def"],
+            major_dgg=s["major_dgg"], bureau=s["bureau"], res_adj=s["res_adj"], exposure=s["exposure"],
+            dis_report=s["dis_report"],
+        )
+
 
 def _q(build: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +134,99 @@ def current_wf_state(c: Ctx) -> DataFrame:
     return wf.current_wf_state(s["wf_history"], s["app"], s["ca"], s["funding_data"], c.params)
 
 
+# --- pipeline T ------------------------------------------------------------------
+
+def max_current_score(c: Ctx) -> DataFrame:
+    return facts.max_current_score(c.src["trans_return"])
+
+
+def overdue_30(c: Ctx) -> DataFrame:
+    return facts.overdue_30(c.src["delinq_summary"], c.src["delinq_detail"], c.params.as_of)
+
+
+def paid_over_30(c: Ctx) -> DataFrame:
+    return facts.paid_over_30(c.src["delinq_summary"], c.src["delinq_detail"])
+
+
+def delinquency_flag(c: Ctx) -> DataFrame:
+    return facts.delinquency_flag(c.src["delinq_summary"], c.src["delinq_detail"], c.params.as_of)
+
+
+def first_due_flagged(c: Ctx) -> DataFrame:
+    s = c.src
+    flagged = facts.delinquency_flag(s["delinq_summary"], s["delinq_detail"], c.params.as_of)
+    return facts.first_due_flagged(s["delinq_summary"], s["delinq_detail"], flagged)
+
+
+def submit_counts(c: Ctx) -> DataFrame:
+    return facts.submit_counts(c.src["ca"], c.src["s_c_log"])
+
+
+def first_last_decision(c: Ctx) -> DataFrame:
+    s = c.src
+    return facts.first_last_decision(s["ino_decisions"], s["app"], facts.submit_counts(s["ca"], s["s_c_log"]))
+
+
+def last_approval(c: Ctx) -> DataFrame:
+    return facts.last_approval(c.src["ino_decisions"], c.src["app"])
+
+
+def last_funding(c: Ctx) -> DataFrame:
+    return facts.last_funding(c.src["s_c_log"])
+
+
+def co_applicant_flag(c: Ctx) -> DataFrame:
+    return facts.co_applicant_flag(c.src["funding_data"])
+
+
+def latest_wf_per_contract(c: Ctx) -> DataFrame:
+    return facts.latest_wf_per_contract(c.src["wf_history_t"], c.src["app"])
+
+
+def dealers_per_manager(c: Ctx) -> DataFrame:
+    return facts.dealers_per_manager(c.src["dealer"], c.src["ams"], c.src["ca"])
+
+
+def returning_customer(c: Ctx) -> DataFrame:
+    return facts.returning_customer(c.src["app"], c.src["ino_c"])
+
+
+def original_package_received(c: Ctx) -> DataFrame:
+    return facts.original_package_received(c.src["ca"], c.src["dealer"], c.src["s_c_log"])
+
+
+def major_derogatory(c: Ctx) -> DataFrame:
+    return facts.major_derogatory(c.src["major_dgg"])
+
+
+def prior_bankruptcy(c: Ctx) -> DataFrame:
+    return facts.prior_bankruptcy(c.src["bureau"])
+
+
+def annual_income_by_relation(c: Ctx) -> DataFrame:
+    return facts.annual_income_by_relation(c.src["app"], c.src["ino_c"])
+
+
+def funder_and_booker(c: Ctx) -> DataFrame:
+    return facts.funder_and_booker(c.src["wf_history_t"], c.src["app"], c.src["ca"])
+
+
+def status_waterfall(c: Ctx) -> DataFrame:
+    return snap.status_waterfall(c.src["ca"])
+
+
+def contract_flags(c: Ctx) -> DataFrame:
+    return snap.contract_flags(c.snapshot_sources(), c.params.as_of)
+
+
+def program_class(c: Ctx) -> DataFrame:
+    return snap.program_class(c.src["ca"], c.src["mk_program"])
+
+
+def wide_contract_snapshot(c: Ctx) -> DataFrame:
+    return snap.wide_contract_snapshot(c.snapshot_sources(), c.params.as_of)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sendings_in_window": _q(sendings_in_window),
     "wf_events_by_state": _q(wf_events_by_state),
@@ -131,4 +239,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stats_per_month": _q(stats_per_month),
     "stats_per_analyst_month": _q(stats_per_analyst_month),
     "current_wf_state": _q(current_wf_state),
+    "max_current_score": _q(max_current_score),
+    "overdue_30": _q(overdue_30),
+    "paid_over_30": _q(paid_over_30),
+    "delinquency_flag": _q(delinquency_flag),
+    "first_due_flagged": _q(first_due_flagged),
+    "submit_counts": _q(submit_counts),
+    "first_last_decision": _q(first_last_decision),
+    "last_approval": _q(last_approval),
+    "last_funding": _q(last_funding),
+    "co_applicant_flag": _q(co_applicant_flag),
+    "latest_wf_per_contract": _q(latest_wf_per_contract),
+    "dealers_per_manager": _q(dealers_per_manager),
+    "returning_customer": _q(returning_customer),
+    "original_package_received": _q(original_package_received),
+    "major_derogatory": _q(major_derogatory),
+    "prior_bankruptcy": _q(prior_bankruptcy),
+    "annual_income_by_relation": _q(annual_income_by_relation),
+    "funder_and_booker": _q(funder_and_booker),
+    "status_waterfall": _q(status_waterfall),
+    "contract_flags": _q(contract_flags),
+    "program_class": _q(program_class),
+    "wide_contract_snapshot": _q(wide_contract_snapshot),
 }
