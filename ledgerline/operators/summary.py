@@ -66,12 +66,12 @@ def segment_summary(details: DataFrame, grain: str, track: str = "track") -> Dat
     )
 
 
-def segment_summaries(details: DataFrame, track: str = "track") -> dict[str, DataFrame]:
-    """All three grains from one GROUPING SETS aggregate.
+def grouping_sets_summary(details: DataFrame, track: str = "track") -> DataFrame:
+    """All three grains in one GROUPING SETS aggregate, tagged by ``_gid``.
 
     ``grouping_id()`` separates the grains (an analyst can be NULL, so NULL cannot
-    mark "not grouped"). The caller should persist/checkpoint the result before
-    taking the three slices if they are written separately.
+    mark "not grouped"). Checkpoint the (small) result before slicing it with
+    ``split_grains`` if the slices are written separately.
     """
     tagged = tag_segments(details, track)
     sets = [
@@ -79,15 +79,25 @@ def segment_summaries(details: DataFrame, track: str = "track") -> dict[str, Dat
         [F.col("seq"), F.col("group_name"), F.col("sending_mt")],
         [F.col("seq"), F.col("group_name"), F.col("se_analyst"), F.col("sending_mt")],
     ]
-    allg = tagged.groupingSets(sets, "seq", "group_name", "se_analyst", "sending_mt").agg(
+    return tagged.groupingSets(sets, "seq", "group_name", "se_analyst", "sending_mt").agg(
         F.grouping_id().alias("_gid"), *_measures()
     )
-    # grouping_id bits (seq, group_name, se_analyst, sending_mt): 1 = column not grouped
-    gids = {"analyst": 1, "month": 2, "analyst_month": 0}
+
+
+# grouping_id bits over (seq, group_name, se_analyst, sending_mt): 1 = not grouped
+_GIDS = {"analyst": 1, "month": 2, "analyst_month": 0}
+
+
+def split_grains(allg: DataFrame) -> dict[str, DataFrame]:
     out = {}
-    for grain, gid in gids.items():
+    for grain, gid in _GIDS.items():
         keys = GRAIN_COLUMNS[grain]
         out[grain] = allg.filter(F.col("_gid") == gid).select(
             "seq", "group_name", *keys, "unique_con", "count_of_ac", "avg_t_hms"
         )
     return out
+
+
+def segment_summaries(details: DataFrame, track: str = "track") -> dict[str, DataFrame]:
+    """The three grains from one aggregate (see ``grouping_sets_summary``)."""
+    return split_grains(grouping_sets_summary(details, track))

@@ -438,3 +438,5 @@ FROM ca
   FROM ca LEFT JOIN mk_program mkt_prg ON ca.mk_program_detail_id = mkt_prg.mk_program_detail_id"""),
     "wide_contract_snapshot": _snapshot_sql(),
 })
+
+ORACLES["snapshot_roundtrip"] = ORACLES["wide_contract_snapshot"]
