@@ -17,7 +17,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import bounded_broadcast
 from ledgerline.operators.keys import first_last_per_key, latest_per_key, nth_per_key
 from ledgerline.params import (
     APPROVAL_DECISIONS,
@@ -171,7 +170,7 @@ def dealers_per_manager(dealer: DataFrame, ams: DataFrame, ca: DataFrame) -> Dat
     ).select("d_key", F.coalesce(F.col("ams_key"), F.lit(0)).alias("ams_key"))
     used = ca.select("d_key").distinct()
     live = live.join(used, "d_key", "left_semi")
-    managers = bounded_broadcast(ams.select("ams_key", "ams_name"))
+    managers = ams.select("ams_key", "ams_name")
     j = live.join(managers, "ams_key", "inner")
     return j.groupBy("ams_key", F.coalesce(F.col("ams_name"), F.lit(UNKNOWN_LABEL)).alias("ams")).agg(
         F.count_distinct("d_key").alias("total_d_under_ams")
@@ -189,7 +188,7 @@ def original_package_received(ca: DataFrame, dealer: DataFrame, status_log: Data
     """First package-received log time of booked contracts with a dealer; NULL
     when there is none: ``id, original_fun_pac_date_re``."""
     booked = ca.filter(F.col("ca_st_key") == BOOKED_STATUS_KEY).select("id", "d_key")
-    booked = booked.join(bounded_broadcast(dealer.select("d_key")), "d_key", "inner").select("id")
+    booked = booked.join(dealer.select("d_key"), "d_key", "inner").select("id")
     first = status_log.filter(F.col("s_id") == PACKAGE_RECEIVED_STATUS_ID).groupBy("id").agg(
         F.min("created_date_time").alias("original_fun_pac_date_re")
     )

@@ -1,12 +1,15 @@
 """Pipeline T: status waterfall, contract flags, program labels and the wide
 102-column contract snapshot.
 
-Plan shape of the snapshot: every per-contract fact is an aggregate or a
-top-1-per-key result keyed by ``id``, so each is hash-partitioned on ``id`` by
-its own (pre-aggregated) shuffle. The scoped contract fact is shuffled on ``id``
-once and then joined to all facts as a chain of co-partitioned sort-merge joins
--- no further shuffle of the fact. Dimensions (status, dates in three roles,
-dealer, manager, program) go through ``bounded_broadcast``.
+Plan shape of the snapshot: each event log is folded once into a per-contract
+digest (``plans.digests``: one scan, map-side partial aggregation, one shuffle),
+so every digest arrives hash-partitioned on ``id``. The scoped contract fact is
+shuffled on ``id`` once and then joined to all digests as a chain of
+co-partitioned sort-merge joins -- no further shuffle of the fact. Dimension
+joins (status, dates in three roles, dealer, manager, program) are left to the
+planner: broadcast when Spark's size estimate is under
+``spark.sql.autoBroadcastJoinThreshold`` or when AQE measures the side small at
+runtime, a shuffle join otherwise. Nothing here forces a broadcast.
 
 Left-joined sources that are not aggregates (funding row of the primary
 applicant, default periods, adjustments, exposure, disposition) must be unique
@@ -21,7 +24,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import bounded_broadcast
 from ledgerline.operators.keys import assert_unique
 from ledgerline.params import (
     APPROVAL_DATE_STATUS_KEYS,
@@ -37,7 +39,7 @@ from ledgerline.params import (
     PRIMARY_APPLICANT_TYPE,
     RELATION_TYPES,
 )
-from ledgerline.plans import facts
+from ledgerline.plans import digests, facts
 
 # ---------------------------------------------------------------------------
 # CASE expressions
@@ -84,7 +86,7 @@ def status_waterfall(ca: DataFrame) -> DataFrame:
 
 def program_class(ca: DataFrame, mk_program: DataFrame) -> DataFrame:
     """``id, fca_or_mas, std_or_alt`` for every contract."""
-    prog = bounded_broadcast(mk_program.select("mk_program_detail_id", "mk_program_name"))
+    prog = mk_program.select("mk_program_detail_id", "mk_program_name")
     j = ca.select("id", "funing_port_key", "mk_program_detail_id").join(prog, "mk_program_detail_id", "left")
     return j.select("id", fca_or_mas().alias("fca_or_mas"), std_or_alt().alias("std_or_alt"))
 
@@ -121,60 +123,6 @@ class SnapshotSources:
     dis_report: DataFrame
 
 
-class Facts:
-    """Per-contract facts computed once each (decisions once for first and last,
-    the funding log once, the workflow history once per use)."""
-
-    def __init__(self, s: SnapshotSources, as_of: dt.date):
-        self.s = s
-        self.as_of = as_of
-        self._m: dict[str, DataFrame] = {}
-
-    def _get(self, name, build):
-        if name not in self._m:
-            self._m[name] = build()
-        return self._m[name]
-
-    def d_flag(self):
-        s = self.s
-        return self._get("d_flag", lambda: facts.delinquency_flag(s.delinq_summary, s.delinq_detail, self.as_of))
-
-    def first_due(self):
-        s = self.s
-        return self._get("first_due", lambda: facts.first_due_flagged(s.delinq_summary, s.delinq_detail, self.d_flag()))
-
-    def submits(self):
-        return self._get("submits", lambda: facts.submit_counts(self.s.ca, self.s.status_log))
-
-    def decisions(self):
-        s = self.s
-        return self._get("decisions", lambda: facts.first_last_decision(s.decisions, s.app, self.submits()))
-
-    def incomes_wide(self):
-        """One row per contract with the lowest-income row of each relation."""
-        def build():
-            long = facts.annual_income_by_relation(self.s.app, self.s.ino_c)
-            aggs = []
-            for rel, prefix in RELATION_TYPES.items():
-                hit = F.col("relationtype") == rel
-                aggs.append(F.max(F.when(hit, F.lit(1))).alias(f"{prefix}_present"))
-                aggs.append(F.max(F.when(hit, F.col("sub_a_inome"))).alias(f"{prefix}_sub_a_inome"))
-                aggs.append(F.max(F.when(hit, F.col("antotal"))).alias(f"{prefix}_antotal"))
-            return long.groupBy("id").agg(*aggs)
-
-        return self._get("incomes", build)
-
-    def funder_booker_wide(self):
-        def build():
-            long = facts.funder_and_booker(self.s.history_t, self.s.app, self.s.ca)
-            return long.groupBy("id").agg(
-                F.max(F.when(F.col("wf_state_name") == FUNDER_STATE[1], F.col("up_by"))).alias("funer"),
-                F.max(F.when(F.col("wf_state_name") == BOOKER_STATE[1], F.col("up_by"))).alias("boo_by"),
-            )
-
-        return self._get("funder_booker", build)
-
-
 def _unique(df: DataFrame, keys, name: str, validate: bool) -> DataFrame:
     return assert_unique(df, keys, name) if validate else df
 
@@ -188,7 +136,7 @@ def _prefixed(df: DataFrame, key: str, prefix: str, cols) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def flag_columns(blank_date: dt.date | None = None) -> list[Column]:
-    """Flag/date columns over a frame that carries the joined sources."""
+    """Flag/date columns over a frame carrying the joined flag sources."""
     return [
         F.when(F.col("last_decisioned_ca_st_key").isin(list(APPROVED_STATUS_KEYS)), 1).otherwise(0).alias("is_app"),
         F.when(F.col("last_decisioned_ca_st_key").isin(list(APPROVAL_DATE_STATUS_KEYS)), F.col("da_full_date"))
@@ -196,8 +144,8 @@ def flag_columns(blank_date: dt.date | None = None) -> list[Column]:
         F.when(F.col("ca_st_key") == FUNDED_STATUS_KEY, 1).otherwise(0).alias("is_fun"),
         F.when(F.col("ca_st_key") == FUNDED_STATUS_KEY, F.col("df_full_date"))
         .otherwise(_blank_date(blank_date)).alias("fun_date"),
-        _flag("coapp_application_no").alias("have_a_co_app"),
-        _flag("dflag_id").alias("d_flag"),
+        F.coalesce(F.col("fd_have_a_co_app"), F.lit(0)).alias("have_a_co_app"),
+        F.coalesce(F.col("dq_d_flag"), F.lit(0)).alias("d_flag"),
         _flag("def_id").alias("def_flag"),
         F.col("def_def_from_date").alias("def_from_date"),
         F.col("def_def_until_date").alias("def_until_date"),
@@ -214,17 +162,17 @@ FLAG_NAMES = (
 
 
 def _date_role(date_dim: DataFrame, prefix: str) -> DataFrame:
-    return bounded_broadcast(date_dim.select(F.col("date_key").alias(f"{prefix}_date_key"), F.col("full_date").alias(f"{prefix}_full_date")))
+    return date_dim.select(F.col("date_key").alias(f"{prefix}_date_key"), F.col("full_date").alias(f"{prefix}_full_date"))
 
 
-def _flag_sources(base: DataFrame, s: SnapshotSources, f: Facts, validate: bool) -> DataFrame:
-    """Left joins feeding ``flag_columns`` (base must carry ``id``)."""
-    coapp = facts.co_applicant_flag(s.funding).select(F.col("application_no").alias("id"), F.col("application_no").alias("coapp_application_no"))
+def _flag_sources(base: DataFrame, s: SnapshotSources, as_of: dt.date, funding: DataFrame, validate: bool) -> DataFrame:
+    """Left joins feeding ``flag_columns`` (``base`` carries ``id``; ``funding`` is
+    the funding digest prefixed ``fd_``)."""
     ldef = _unique(_prefixed(s.l_def, "id", "def_", ["id", "def_from_date", "def_until_date"]), ["id"], "ca_l_def", validate)
     exp = _unique(_prefixed(s.exposure, "most_recent_app", "ee_", ["most_recent_app"]), ["id"], "exposure", validate)
-    j = base
-    j = j.join(coapp, "id", "left")
-    j = j.join(f.d_flag().select("id", F.col("id").alias("dflag_id")), "id", "left")
+    dq = digests.delinquency_digest(s.delinq_summary, s.delinq_detail, as_of)
+    j = base.join(funding, "id", "left")
+    j = j.join(_prefixed(dq, "id", "dq_", ["d_flag", "first_i_due_date"]), "id", "left")
     j = j.join(ldef, "id", "left")
     j = j.join(facts.major_derogatory(s.major_dgg).select("id", F.col("id").alias("md_id")), "id", "left")
     j = j.join(facts.prior_bankruptcy(s.bureau).select("id", F.col("id").alias("pb_id")), "id", "left")
@@ -232,14 +180,23 @@ def _flag_sources(base: DataFrame, s: SnapshotSources, f: Facts, validate: bool)
     return j
 
 
+def _funding(s: SnapshotSources, validate: bool) -> DataFrame:
+    if validate:
+        prim = s.funding.filter(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE)
+        assert_unique(prim, ["application_no"], "primary funding row")
+    fd = digests.funding_digest(s.funding, list(FUNDING_PASS_THROUGH))
+    return fd.select("id", F.col("have_a_co_app").alias("fd_have_a_co_app"),
+                     *[F.col(f"prim.{c}").alias(f"ino_{c}") for c in FUNDING_PASS_THROUGH])
+
+
 def contract_flags(s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, validate: bool = False) -> DataFrame:
     """``id`` + the twelve flag/date columns, for every contract (date roles joined
     left so no contract is dropped)."""
-    f = Facts(s, as_of)
     base = s.ca.select("id", "ca_st_key", "last_decisioned_ca_st_key", "last_decisioned_date_key", "funing_date_key")
     base = base.join(_date_role(s.date_dim, "da"), F.col("last_decisioned_date_key") == F.col("da_date_key"), "left")
     base = base.join(_date_role(s.date_dim, "df"), F.col("funing_date_key") == F.col("df_date_key"), "left")
-    j = _flag_sources(base, s, f, validate)
+    fd = _funding(s, validate).select("id", "fd_have_a_co_app")
+    j = _flag_sources(base, s, as_of, fd, validate)
     return j.select("id", *flag_columns(blank_date))
 
 
@@ -299,8 +256,13 @@ FUNDING_PASS_THROUGH = tuple(sorted({src[4:] for _, src in SNAPSHOT_COLUMNS if s
 def wide_contract_snapshot(
     s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, validate: bool = False
 ) -> DataFrame:
-    """The 102-column contract snapshot for contracts with a submission date key > 0."""
-    f = Facts(s, as_of)
+    """The 102-column contract snapshot for contracts with a submission date key > 0.
+
+    Shuffles: one per log digest (pre-aggregated), one for the scoped contract
+    fact; the fact-to-digest joins are co-partitioned on ``id``. Dimension joins
+    are left to the planner (broadcast when its size estimate is under
+    ``spark.sql.autoBroadcastJoinThreshold``, or when AQE measures it small).
+    """
     keys = ["ca_st_key", "last_decisioned_ca_st_key", "sub_date_key", "last_decisioned_date_key",
             "funing_date_key", "d_key", "mk_program_detail_id", "funing_port_key"]
     fact = s.ca.filter(F.col("sub_date_key") > 0).select(
@@ -308,62 +270,66 @@ def wide_contract_snapshot(
     )
 
     # inner joins to dimensions first (they can only drop rows)
-    status = bounded_broadcast(s.ca_status.select("ca_st_key", F.col("ca_s_name").alias("s_ca_s_name")))
-    j = fact.join(status, "ca_st_key", "inner")
+    j = fact.join(s.ca_status.select("ca_st_key", F.col("ca_s_name").alias("s_ca_s_name")), "ca_st_key", "inner")
     for role, key in (("ds", "sub_date_key"), ("da", "last_decisioned_date_key"), ("df", "funing_date_key")):
         j = j.join(_date_role(s.date_dim, role), F.col(key) == F.col(f"{role}_date_key"), "inner")
-    dealer = bounded_broadcast(s.dealer.select("d_key", F.col("ams_key").alias("d_ams_key"), F.col("pro").alias("dl_pro")))
-    j = j.join(dealer, "d_key", "inner").withColumn("_ams_key", F.coalesce(F.col("d_ams_key"), F.lit(0)))
-    managers = bounded_broadcast(s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name")))
-    j = j.join(managers, "_ams_key", "left")
-    per_mgr = bounded_broadcast(
-        facts.dealers_per_manager(s.dealer, s.ams, s.ca).select(
-            F.col("ams_key").alias("_ams_key"), F.col("total_d_under_ams").alias("u_total_d_under_ams")
-        )
+    dealer = s.dealer.select("d_key", F.coalesce(F.col("ams_key"), F.lit(0)).alias("_ams_key"), F.col("pro").alias("dl_pro"))
+    j = j.join(dealer, "d_key", "inner")
+    j = j.join(s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name")), "_ams_key", "left")
+    per_mgr = facts.dealers_per_manager(s.dealer, s.ams, s.ca).select(
+        F.col("ams_key").alias("_ams_key"), F.col("total_d_under_ams").alias("u_total_d_under_ams")
     )
     j = j.join(per_mgr, "_ams_key", "left")
-    prog = bounded_broadcast(s.mk_program.select("mk_program_detail_id", "mk_program_name"))
-    j = j.join(prog, "mk_program_detail_id", "left")
-
-    # per-contract facts: all keyed and partitioned by id
-    prim = s.funding.filter(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE)
-    prim = _unique(_prefixed(prim, "application_no", "ino_", list(FUNDING_PASS_THROUGH)), ["id"], "primary funding row", validate)
-    j = j.join(prim, "id", "left")
-    j = _flag_sources(j, s, f, validate)
-    j = j.join(_prefixed(f.first_due(), "id", "fi_", ["first_i_due_date"]), "id", "left")
+    j = j.join(s.mk_program.select("mk_program_detail_id", "mk_program_name"), "mk_program_detail_id", "left")
+
+    # per-contract digests, all keyed by id
+    j = _flag_sources(j, s, as_of, _funding(s, validate), validate)
     j = j.join(_prefixed(facts.max_current_score(s.trans_return), "id", "catr_", ["highest_fco"]), "id", "left")
-    dec_cols = ["sub_date_time", "first_decision_date_time", "first_decision_s", "first_de_user",
-                "last_decision_date_time", "last_decision_s", "last_de_user"]
-    j = j.join(_prefixed(f.decisions(), "id", "dc_", dec_cols), "id", "left")
-    j = j.join(_prefixed(facts.last_approval(s.decisions, s.app), "id", "la_", ["last_app_date_time", "vin"]), "id", "left")
-    j = j.join(_prefixed(facts.last_funding(s.status_log), "id", "lf_", ["fun_date_time"]), "id", "left")
-    j = j.join(_prefixed(f.submits(), "id", "sc_", ["cou_of_submits"]), "id", "left")
-    j = j.join(
-        _prefixed(facts.latest_wf_per_contract(s.history_t, s.app), "id", "wf_", ["wf_state_name", "up_date_time", "up_by"]),
-        "id", "left",
-    )
-    j = j.join(_prefixed(facts.returning_customer(s.app, s.ino_c), "id", "rc_", ["returningcflag"]), "id", "left")
+    sl = digests.status_log_digest(s.status_log)
+    j = j.join(_prefixed(sl, "id", "sl_", ["cou_of_submits", "fun_date_time", "first_package_time"]), "id", "left")
+    j = j.join(_prefixed(digests.decision_digest(s.decisions, s.app), "id", "dd_", ["first_dec", "last_dec", "last_app"]), "id", "left")
+    j = j.join(_prefixed(digests.workflow_digest(s.history_t, s.app), "id", "wd_", ["last_wf", "fun", "boo"]), "id", "left")
+    lows = [f"low_{p}" for p in RELATION_TYPES.values()]
+    j = j.join(_prefixed(digests.customer_row_digest(s.ino_c, s.app), "id", "cr_", ["returningcflag", *lows]), "id", "left")
     ra = _unique(_prefixed(s.res_adj, "id", "ra_", ["re_program", "re_program_start_date"]), ["id"], "res_adj", validate)
     j = j.join(ra, "id", "left")
-    op = facts.original_package_received(s.ca, s.dealer, s.status_log)
-    j = j.join(_prefixed(op, "id", "op_", ["original_fun_pac_date_re"]), "id", "left")
-    inc_cols = [f"{p}_{c}" for p in RELATION_TYPES.values() for c in ("present", "sub_a_inome", "antotal")]
-    j = j.join(_prefixed(f.incomes_wide(), "id", "inc_", inc_cols), "id", "left")
-    j = j.join(_prefixed(f.funder_booker_wide(), "id", "fb_", ["funer", "boo_by"]), "id", "left")
     dr = _unique(_prefixed(s.dis_report, "contract_id", "dr_", ["current_status"]), ["id"], "dis_report", validate)
     j = j.join(dr, "id", "left")
 
+    booked = F.col("ca_st_key") == BOOKED_STATUS_KEY
+    submitted = F.col("sl_cou_of_submits").isNotNull()
     derived = [c.alias("x_" + n) for c, n in zip(flag_columns(blank_date), FLAG_NAMES)]
     derived += [
+        F.col("dq_first_i_due_date").alias("fi_first_i_due_date"),
         F.coalesce(F.col("catr_highest_fco").cast("string"), F.lit(NOT_APPLICABLE)).alias("x_fco_score_refresh"),
         status_label().alias("x_ca_status"),
         fca_or_mas().alias("x_fca_or_mas"),
         std_or_alt().alias("x_std_or_alt"),
+        F.col("sl_cou_of_submits").alias("sc_cou_of_submits"),
+        F.col("sl_fun_date_time").alias("lf_fun_date_time"),
+        F.when(booked, F.col("sl_first_package_time")).alias("op_original_fun_pac_date_re"),
+        F.col("dd_last_app.decisiondate").alias("la_last_app_date_time"),
+        F.col("dd_last_app.vin").alias("la_vin"),
+        F.col("wd_last_wf.wf_state_name").alias("wf_wf_state_name"),
+        F.col("wd_last_wf.up_date_time").alias("wf_up_date_time"),
+        F.col("wd_last_wf.up_by").alias("wf_up_by"),
+        F.when(booked, F.col("wd_fun.up_by")).alias("fb_funer"),
+        F.when(booked, F.col("wd_boo.up_by")).alias("fb_boo_by"),
+        F.col("cr_returningcflag").alias("rc_returningcflag"),
     ]
+    # first/last final decision only for contracts with submit rows
+    for side, src in (("first", "dd_first_dec"), ("last", "dd_last_dec")):
+        derived += [
+            F.when(submitted, F.col(f"{src}.decisiondate")).alias(f"dc_{side}_decision_date_time"),
+            F.when(submitted, F.col(f"{src}.decisiondescription")).alias(f"dc_{side}_decision_s"),
+            F.when(submitted, F.col(f"{src}.canalyst")).alias(f"dc_{side}_de_user"),
+        ]
+    derived.append(F.when(submitted, F.col("dd_first_dec.subdate")).alias("dc_sub_date_time"))
     for prefix in RELATION_TYPES.values():
+        low = F.col(f"cr_low_{prefix}")
         derived.append(
-            F.when(F.col("ino_tds_v").isNull(), F.col(f"inc_{prefix}_sub_a_inome"))
-            .otherwise(F.col(f"inc_{prefix}_antotal")).alias(f"x_{prefix}_an_income")
+            F.when(F.col("ino_tds_v").isNull(), digests.annualised_struct(low))
+            .otherwise(low["antotal"]).alias(f"x_{prefix}_an_income")
         )
     j = j.select("*", *derived)
     return j.select(*[F.col(src).alias(out) for out, src in SNAPSHOT_COLUMNS])

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
-from ledgerline.operators.broadcast import bounded_broadcast
 from ledgerline.operators.keys import latest_per_key, nth_per_key
 from ledgerline.operators.pairing import pair_next_event
 from ledgerline.params import (
@@ -42,8 +41,8 @@ def sendings_in_window(ca: DataFrame, date_dim: DataFrame, dealer: DataFrame, pa
     The last-submission date and the dealer are existence checks against keys
     that are unique in their dimension, so they are semi-joins (no fan-out).
     """
-    dates = bounded_broadcast(date_dim.select("date_key", "full_date"))
-    dealers = bounded_broadcast(dealer.select("d_key"))
+    dates = date_dim.select("date_key", "full_date")
+    dealers = dealer.select("d_key")
     scoped = ca.filter(F.col("ca_st_key") == BOOKED_STATUS_KEY).select(
         F.col("id").alias("ca_id"), "sending_date_key", "sub_date_key", "d_key"
     )
@@ -131,7 +130,7 @@ def track_details(pairs: DataFrame, track: str) -> DataFrame:
 def sending_details(pairs: DataFrame, ca: DataFrame, ca_status: DataFrame, sendings: DataFrame) -> DataFrame:
     """Published detail table (11 columns): both tracks, current status name,
     sending date; distinct rows."""
-    status = bounded_broadcast(ca_status.select("ca_st_key", "ca_s_name"))
+    status = ca_status.select("ca_st_key", "ca_s_name")
     cur = ca.select(F.col("id").alias("ca_id"), "ca_st_key").join(status, "ca_st_key", "left")
     out = (
         pairs.select(*DETAIL_COLUMNS)
