@@ -53,29 +53,37 @@ def pair_next_event(
     ).withColumn("_bucket", F.floor(F.unix_micros(F.col("_ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)))
     outcome = F.when(~F.col("_is_start"), F.struct(F.col("_ts").alias("ts"), F.col("_name").alias("name"), F.col("_by").alias("by")))
 
-    # per (key, bucket): earliest start and earliest outcome; then the minimum over later buckets
+    # one shuffle of the events on (track, key, bucket), reused by the bucket
+    # summary and by the windows below
     grp = part + ["_bucket"]
+    ev = ev.repartition(*grp)
+
+    # per bucket: earliest start and earliest outcome; then the minimum over later buckets
     summary = ev.groupBy(*grp).agg(
         F.min(F.when(F.col("_is_start"), F.col("_ts"))).alias("_b_start"),
         F.min(outcome).alias("_b_out"),
     )
-    later = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*part).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         *grp,
         F.min("_b_start").over(later).alias("_after_start"),
         F.min("_b_out").over(later).alias("_after_out"),
     )
 
-    # inside a bucket: next start (lead over starts) and earliest outcome at or after ts
-    by_start = Window.partitionBy(*grp, "_is_start").orderBy("_ts", "_by", "_name")
-    at_or_after = Window.partitionBy(*grp).orderBy(F.col("_ts").desc()).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    local = (
-        ev.withColumn("_next_local", F.lead("_ts").over(by_start))
-        .withColumn("_out_local", F.min(outcome).over(at_or_after))
-        .filter(F.col("_is_start"))
+    # inside a bucket, one descending pass (growing frames, linear time):
+    # outcomes sort before starts of the same instant, so a start's frame holds
+    # every outcome at or after it; the rows before it hold every later start
+    # (and tied starts that follow it in (ts, by, name) order).
+    desc = Window.partitionBy(*grp).orderBy(
+        F.col("_ts").desc(), F.col("_is_start").asc(), F.col("_by").desc(), F.col("_name").desc()
     )
+    upto = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = desc.rowsBetween(Window.unboundedPreceding, -1)
+    local = ev.select(
+        "*",
+        F.min(outcome).over(upto).alias("_out_local"),
+        F.min(F.when(F.col("_is_start"), F.col("_ts"))).over(before).alias("_next_local"),
+    ).filter(F.col("_is_start"))
     paired = local.join(carry, grp, "left")
     next_start = F.coalesce(F.col("_next_local"), F.col("_after_start"))
     cand = F.coalesce(F.col("_out_local"), F.col("_after_out"))
