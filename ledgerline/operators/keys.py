@@ -87,3 +87,40 @@ def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "input") -> Da
     if dup:
         raise DuplicateKeyError(f"{name}: key {tuple(dup[0][k] for k in keys)} appears {dup[0]['count']} times")
     return df
+
+
+_NULL_BUCKET = -(2**62)
+
+
+def sequence_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tiebreak: Sequence[str] = (),
+    out: str = "seq_no",
+    bucket_seconds: int = 86_400,
+) -> DataFrame:
+    """``row_number()`` over ``keys`` ordered by ``ts`` then ``tiebreak`` (NULLs first),
+    computed without putting a whole key into one task.
+
+    Rows are numbered inside time buckets of ``bucket_seconds`` (one shuffle on
+    ``keys + bucket``); each bucket's offset is a running sum over the per-bucket
+    row counts (one small row per key and bucket). Equal to the plain window
+    because buckets are monotone in ``ts``.
+    """
+    bucket = F.coalesce(
+        F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)),
+        F.lit(_NULL_BUCKET),
+    )
+    grp = list(keys) + ["_seq_bucket"]
+    b = df.withColumn("_seq_bucket", bucket).repartition(*grp)
+    counts = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_seq_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*grp, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    local = Window.partitionBy(*grp).orderBy(F.col(ts).asc(), *[F.col(c).asc() for c in tiebreak])
+    numbered = b.withColumn("_local", F.row_number().over(local))
+    return (
+        numbered.join(offsets, grp, "inner")
+        .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
+        .drop("_seq_bucket", "_local", "_offset")
+    )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
-from ledgerline.operators.keys import latest_per_key, nth_per_key
+from ledgerline.operators.keys import latest_per_key, nth_per_key, sequence_per_key
 from ledgerline.operators.pairing import pair_next_event
 from ledgerline.params import (
     BOOKED_STATUS_KEY,
@@ -75,13 +75,13 @@ def wf_events(history: DataFrame, app: DataFrame, sendings: DataFrame, params: R
     return ev.select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by")
 
 
-def wf_events_by_state(events: DataFrame) -> DataFrame:
+def wf_events_by_state(events: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
     """All events per class with their sequence number per contract (ascending
-    time; ties by actor then state name, NULLs first)."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("ca_id", "state_class").orderBy("u_date_time", "u_by", "wf_state_name")
-    return events.withColumn("seq_no", F.row_number().over(w).cast("bigint"))
+    time; ties by actor then state name, NULLs first). Numbered per time bucket
+    plus a running offset, so a very active contract is spread over many tasks."""
+    return sequence_per_key(
+        events, ["ca_id", "state_class"], "u_date_time", ["u_by", "wf_state_name"], "seq_no", bucket_seconds
+    ).select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by", "seq_no")
 
 
 def pairing_input(events: DataFrame) -> DataFrame:

@@ -82,3 +82,17 @@ def test_trailing_months_clamps_month_end():
     assert add_months(dt.date(2024, 5, 31), -3) == dt.date(2024, 2, 29)
     p = RunParams.trailing_months(dt.date(2024, 5, 31))
     assert (p.start, p.end) == (dt.date(2024, 2, 29), dt.date(2024, 5, 31))
+
+
+def test_sequence_per_key_equals_plain_row_number(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.keys import sequence_per_key
+
+    rows = [(k, TS + dt.timedelta(hours=h), b) for k in (1, 2) for h in (0, 5, 5, 30, 49, 49, 200) for b in ("x", None)]
+    rows.append((3, None, "z"))
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, b string")
+    plain = df.withColumn("s", F.row_number().over(Window.partitionBy("k").orderBy("t", "b")).cast("bigint"))
+    got = sequence_per_key(df, ["k"], "t", ["b"], "s", bucket_seconds=3600 * 7)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*got.columns).collect()))
