@@ -1,0 +1,3 @@
+"""ledgerline: contract workflow analytics as Spark DataFrame plans."""
+
+__version__ = "0.1.0"

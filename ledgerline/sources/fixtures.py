@@ -18,6 +18,26 @@ from functools import lru_cache
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Declared schemas of the supplied tables: reading with a schema skips the
+# footer-sampling inference job per table.
+BASE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+        "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+        "l_shipdate TIMESTAMP_NTZ"
+    ),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 
 def _secs(dialect: str, ts: str, n: str) -> str:
     if dialect == "spark":
@@ -246,7 +266,7 @@ class FixtureSources:
 
     def table(self, name: str):
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
     def df(self, name: str):
