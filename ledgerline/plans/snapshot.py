@@ -29,12 +29,10 @@ from ledgerline.params import (
     APPROVAL_DATE_STATUS_KEYS,
     APPROVED_STATUS_KEYS,
     BOOKED_STATUS_KEY,
-    BOOKER_STATE,
     CANCELLED_STATUS_KEYS,
     DECLINED_STATUS_KEYS,
     FCA_PORT_KEY,
     FUNDED_STATUS_KEY,
-    FUNDER_STATE,
     NOT_APPLICABLE,
     PRIMARY_APPLICANT_TYPE,
     RELATION_TYPES,

@@ -231,19 +231,13 @@ def snapshot_roundtrip(c: Ctx) -> DataFrame:
     """Publish the snapshot by atomic overwrite into the shared folder, read it back."""
     import hashlib
 
-    from ledgerline.plans.refresh import refresh_snapshot
+    from ledgerline.plans.refresh import SNAPSHOT_TABLE, refresh_snapshot
     from ledgerline.sources.sinks import read_published, shared_dir
 
     tag = hashlib.sha1(c.src.sf_dir.encode()).hexdigest()[:10]
     base = shared_dir(c.spark, "ledgerline", "published", tag)
     refresh_snapshot(c.spark, c.snapshot_sources(), c.params, base, validate=True)
-    return read_published(c.spark, f"{base}/{snap_table()}")
-
-
-def snap_table() -> str:
-    from ledgerline.plans.refresh import SNAPSHOT_TABLE
-
-    return SNAPSHOT_TABLE
+    return read_published(c.spark, f"{base}/{SNAPSHOT_TABLE}")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
