@@ -43,6 +43,21 @@ def business_calendar(spark: SparkSession, hours: BusinessHours) -> DataFrame:
     return cal
 
 
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Seconds since 1970-01-01 00:00:00, independent of the session time zone.
+
+    ``TIMESTAMP_NTZ`` is a wall-clock value, so it is counted from its own date and
+    time-of-day fields (casting it to a zoned timestamp would make the result depend
+    on the session zone and break monotonicity at daylight-saving gaps). A zoned
+    ``TIMESTAMP`` is an instant and uses ``unix_seconds``.
+    """
+    dtype = df.schema[ts].dataType.typeName()
+    if dtype == "timestamp_ntz":
+        days = F.datediff(F.to_date(F.col(ts)), F.lit("1970-01-01").cast("date")).cast("bigint")
+        return days * 86_400 + _secs_of_day(F.col(ts))
+    return F.unix_seconds(F.col(ts).cast("timestamp"))
+
+
 def _secs_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 

@@ -108,10 +108,9 @@ def sequence_per_key(
     row counts (one small row per key and bucket). Equal to the plain window
     because buckets are monotone in ``ts``.
     """
-    bucket = F.coalesce(
-        F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)),
-        F.lit(_NULL_BUCKET),
-    )
+    from ledgerline.functions.caltime import epoch_seconds
+
+    bucket = F.coalesce(F.floor(epoch_seconds(df, ts) / F.lit(bucket_seconds)), F.lit(_NULL_BUCKET))
     grp = list(keys) + ["_seq_bucket"]
     b = df.withColumn("_seq_bucket", bucket).repartition(*grp)
     counts = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))

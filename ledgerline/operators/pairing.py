@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.caltime import epoch_seconds
+
 DEFAULT_BUCKET_SECONDS = 86_400
 
 
@@ -50,7 +52,8 @@ def pair_next_event(
         F.col(name).alias("_name"),
         F.col(by).alias("_by"),
         (F.col(role) == F.lit("start")).alias("_is_start"),
-    ).withColumn("_bucket", F.floor(F.unix_micros(F.col("_ts").cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)))
+    )
+    ev = ev.withColumn("_bucket", F.floor(epoch_seconds(ev, "_ts") / F.lit(bucket_seconds)))
     outcome = F.when(~F.col("_is_start"), F.struct(F.col("_ts").alias("ts"), F.col("_name").alias("name"), F.col("_by").alias("by")))
 
     # one shuffle of the events on (track, key, bucket), reused by the bucket

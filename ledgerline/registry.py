@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
+from ledgerline.functions.caltime import business_calendar, epoch_seconds, format_hms, with_business_seconds
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import facts
 from ledgerline.plans import snapshot as snap
@@ -108,8 +108,7 @@ def business_seconds(c: Ctx) -> DataFrame:
 def format_hms_q(c: Ctx) -> DataFrame:
     """Wall-clock seconds from submission to decision, formatted ``HH:MM:SS``."""
     d = c.src["ino_decisions"].select("applicationid", "subdate", "decisiondate")
-    secs = (F.unix_micros(F.col("decisiondate").cast("timestamp")) - F.unix_micros(F.col("subdate").cast("timestamp"))) / 1_000_000
-    d = d.withColumn("seconds", secs.cast("bigint"))
+    d = d.withColumn("seconds", (epoch_seconds(d, "decisiondate") - epoch_seconds(d, "subdate")).cast("bigint"))
     return d.withColumn("hms", format_hms(F.col("seconds")))
 
 

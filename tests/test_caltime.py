@@ -54,3 +54,15 @@ def test_format_hms(spark):
 def test_integer_average_truncates(spark):
     df = spark.createDataFrame([(1,), (2,)], "d long")
     assert df.select(int_div(F.sum("d"), F.count("d")).alias("a")).collect()[0].a == 1
+
+
+def test_epoch_seconds_ignores_session_zone(spark):
+    from ledgerline.functions.caltime import epoch_seconds
+
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30),), (dt.datetime(2024, 3, 10, 3, 10),)], "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = [r.s for r in df.select(epoch_seconds(df, "t").alias("s")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [1710037800, 1710040200]  # wall clock, monotone across the DST gap

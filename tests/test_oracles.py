@@ -23,3 +23,14 @@ def test_entry_smoke(spark, name):
     df = entry.entry(spark)
     assert df.columns == ["seq", "group_name", "se_analyst", "unique_con", "count_of_ac", "avg_t_hms"]
     assert df.count() >= 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    """Wall-clock (TIMESTAMP_NTZ) inputs: a daylight-saving session zone changes nothing."""
+    names = ["ready_to_next_outcome", "defnew_to_next_outcome", "format_hms", "wf_events_by_state", "business_seconds"]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        results = run(spark, SF, names, verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(v[0] is True for v in results.values()), results
