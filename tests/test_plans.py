@@ -57,3 +57,12 @@ def test_snapshot_has_one_scan_per_log(spark, queries):
     # the events table backs the status log: one scan for the submit, funding and
     # package-received facts together
     assert p.count("Relation [event_id") == 1
+
+
+def test_pairing_partitions_by_time_bucket(spark):
+    """A hot contract is split by time: the events' repartition keys include the bucket."""
+    from ledgerline.registry import Ctx
+
+    p = Ctx(spark, SF).pairs()._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in p.split("\n") if "RepartitionByExpression" in line]
+    assert lines and all("_bucket" in line and "ca_id" in line for line in lines)
