@@ -76,7 +76,9 @@ def pair_next_event(
     # inside a bucket, one descending pass (growing frames, linear time):
     # outcomes sort before starts of the same instant, so a start's frame holds
     # every outcome at or after it; the rows before it hold every later start
-    # (and tied starts that follow it in (ts, by, name) order).
+    # (and tied starts that follow it in (ts, by, name) order). Tied starts are
+    # adjacent in this order: all but the last (the smallest actor) are dropped,
+    # and the last sees its tie as a next start at the same instant.
     desc = Window.partitionBy(*grp).orderBy(
         F.col("_ts").desc(), F.col("_is_start").asc(), F.col("_by").desc(), F.col("_name").desc()
     )
@@ -86,16 +88,18 @@ def pair_next_event(
         "*",
         F.min(outcome).over(upto).alias("_out_local"),
         F.min(F.when(F.col("_is_start"), F.col("_ts"))).over(before).alias("_next_local"),
-    ).filter(F.col("_is_start"))
+        F.lead("_ts").over(desc).alias("_lead_ts"),
+        F.lead("_is_start").over(desc).alias("_lead_start"),
+    )
+    tie_follows = F.coalesce(F.col("_lead_start") & (F.col("_lead_ts") == F.col("_ts")), F.lit(False))
+    local = local.filter(F.col("_is_start") & ~tie_follows)
+
     paired = local.join(carry, grp, "left")
+    tied = F.coalesce(F.col("_next_local") == F.col("_ts"), F.lit(False))
     next_start = F.coalesce(F.col("_next_local"), F.col("_after_start"))
     cand = F.coalesce(F.col("_out_local"), F.col("_after_out"))
-    hit = F.when(cand.isNotNull() & (next_start.isNull() | (cand["ts"] < next_start)), cand)
+    hit = F.when(~tied & cand.isNotNull() & (next_start.isNull() | (cand["ts"] < next_start)), cand)
     paired = paired.withColumn("_hit", hit)
-
-    # tied starts: one row per (key, ts); an empty-interval (NULL) row wins
-    tie = Window.partitionBy(*grp, "_ts").orderBy(F.col("_hit").isNotNull(), "_by", "_name")
-    paired = paired.withColumn("_rn", F.row_number().over(tie)).filter(F.col("_rn") == 1)
     return paired.select(
         *[F.col(c) for c in part],
         F.col("_name").alias("type_1"),
