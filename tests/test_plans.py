@@ -66,3 +66,28 @@ def test_pairing_partitions_by_time_bucket(spark):
     p = Ctx(spark, SF).pairs()._jdf.queryExecution().optimizedPlan().toString()
     lines = [line for line in p.split("\n") if "RepartitionByExpression" in line]
     assert lines and all("_bucket" in line and "ca_id" in line for line in lines)
+
+
+def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
+    """Over a real parquet table the state-type and time filters are pushed to the
+    scan and only the needed columns are read."""
+    from ledgerline.plans import workflow as wf
+    from ledgerline.registry import TEST_PARAMS, Ctx
+    from ledgerline.sources.tables import TableSources
+
+    c = Ctx(spark, SF)
+    path = str(tmp_path / "wf_history")
+    c.src["wf_history"].write.parquet(path)
+    src = TableSources(spark, {"wf_history": f"parquet:{path}"})
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        ev = wf.wf_events(src["wf_history"], c.src["app"], c.sendings(), TEST_PARAMS)
+        p = ev._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in p.split("\n") if "FileScan" in line and "wf_history" in line)
+    pushed = scan.split("PushedFilters:")[1].split("ReadSchema:")[0]
+    assert "EqualTo(wf_state_type_name,AudSendingWFState)" in pushed
+    assert "GreaterThanOrEqual(u_date_time," in pushed
+    read_schema = scan.split("ReadSchema:")[1]
+    assert read_schema.strip().startswith("struct<application_id:bigint,u_date_time:timestamp_ntz")
