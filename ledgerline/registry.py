@@ -31,12 +31,24 @@ TEST_HOURS = BusinessHours(
 )
 
 
+_SOURCES: dict[tuple[str, str], FixtureSources] = {}
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str) -> FixtureSources:
+    """Fixture views per (application, folder): the lazy view DataFrames are built
+    once and reused by every query; each execution still reads the files in full."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _SOURCES:
+        _SOURCES[key] = FixtureSources(spark, sf_dir)
+    return _SOURCES[key]
+
+
 class Ctx:
     """Fixture sources plus derived intermediates shared inside one query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS, hours: BusinessHours = TEST_HOURS):
         self.spark = spark
-        self.src = FixtureSources(spark, sf_dir)
+        self.src = fixture_sources(spark, sf_dir)
         self.params = params
         self.hours = hours
         self._memo: dict[str, DataFrame] = {}
