@@ -40,6 +40,8 @@ def main(argv=None) -> None:
     ap.add_argument("--calendar-from", default="2000-01-01")
     ap.add_argument("--calendar-to", default="2040-12-31")
     ap.add_argument("--holidays", default="", help="comma-separated YYYY-MM-DD dates")
+    ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
+    ap.add_argument("--bucket-seconds", type=int, default=86_400, help="time bucket of the pairing shuffle")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.job}").getOrCreate()
@@ -54,10 +56,13 @@ def main(argv=None) -> None:
         open_seconds=secs(args.open),
         close_seconds=secs(args.close),
         holidays=tuple(dt.date.fromisoformat(d) for d in args.holidays.split(",") if d),
+        yearly_holidays=tuple((int(d[:2]), int(d[3:5])) for d in args.yearly_holidays.split(",") if d),
     )
     if args.job == "turnaround":
         names = ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")
-        out = refresh.refresh_turnaround(spark, {n: src[n] for n in names}, params, hours, args.out)
+        out = refresh.refresh_turnaround(
+            spark, {n: src[n] for n in names}, params, hours, args.out, bucket_seconds=args.bucket_seconds
+        )
     else:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})
         out = {"snapshot": refresh.refresh_snapshot(spark, s, params, args.out)}
