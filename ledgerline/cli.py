@@ -1,4 +1,4 @@
-"""Run a refresh job: ``spark-submit -m ledgerline.cli <job> --sources map.json --out <base>``.
+"""Run a refresh job: ``spark-submit --py-files ledgerline.zip ledgerline/cli.py <job> --sources map.json --out <base>``.
 
 ``map.json`` maps logical source names to catalog tables or ``format:path``
 (see ``sources.tables.TableSources``). ``--as-of`` defaults to today (UTC);
