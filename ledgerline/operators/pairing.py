@@ -5,19 +5,22 @@ Semantics (per ``key``, optionally per ``track``):
 * every start row ``s`` gets the earliest outcome ``o`` with
   ``s.ts <= o.ts < next_start.ts`` (no upper bound when there is no next start);
 * starts sharing one timestamp form one output row; because the earlier of two
-  tied starts sees the empty interval ``[t, t)``, such a row has **no** outcome;
+  tied starts sees the empty interval ``[t, t)``, such a row has **no** outcome
+  and carries the smallest actor of the group;
 * starts without an outcome are kept with NULL outcome columns;
 * ties are broken by ``(ts, by, name)`` ascending, NULLs first, everywhere.
 
 Plan (skew-safe, one shuffle of the events)
 -------------------------------------------
-Events are bucketed by time (``bucket_seconds``). Windows run per
-``(track, key, bucket)``, so a single hot key is spread over many tasks instead
-of one. What a bucket cannot see -- the first start and the first outcome in any
-*later* bucket -- comes from a per-bucket summary (one row per key and bucket,
-built with partial aggregation) and a suffix-minimum window over those summaries.
-The summary is joined back on ``(track, key, bucket)``; the event side keeps its
-partitioning, so only the small summary moves again.
+Events are bucketed by time (``bucket_seconds``) and shuffled once on
+``(track, key, bucket)``, so a single hot key is spread over as many tasks as it
+has buckets. One window pass per bucket (a single sort) yields the earliest
+outcome at or after each start, the next start, and the tie marker. What a
+bucket cannot see -- the first start and the first outcome in any *later*
+bucket -- comes from a per-bucket summary (one row per key and bucket, computed
+from the same shuffled events) and a running minimum over the buckets in
+descending order. The summary is joined back on ``(track, key, bucket)``; the
+event side keeps its partitioning, so only the summary moves again.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.operators.keys import assert_unique
 from ledgerline.operators.summary import grouping_sets_summary, split_grains
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import snapshot as snap
@@ -37,10 +38,17 @@ def refresh_turnaround(
     hours: BusinessHours,
     out_base: str,
     bucket_seconds: int = 86_400,
+    validate: bool = True,
 ) -> dict[str, str]:
     """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the
-    published path per table."""
+    published path per table. ``validate`` first asserts that the contract, date and
+    dealer keys the scope joins on are unique (a repeated key would multiply events)."""
     ensure_checkpoint_dir(spark)
+    if validate:
+        assert_unique(src["ca"], ["id"], "contracts")
+        assert_unique(src["date_dim"], ["date_key"], "date dimension")
+        assert_unique(src["dealer"], ["d_key"], "dealers")
+        assert_unique(src["app"], ["application_id"], "application bridge")
     sendings = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
     events = wf.wf_events(src["wf_history"], src["app"], sendings, params)
     pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds).checkpoint()
