@@ -106,7 +106,8 @@ def int_div(num: Column, den) -> Column:
     exact multiple of ``den``, so the division below is exact for |num| < 2**53."""
     n = num.cast("bigint")
     d = (den if isinstance(den, Column) else F.lit(den)).cast("bigint")
-    return ((n - n % d) / d).cast("bigint")
+    # a zero divisor (e.g. an average over only NULL durations) gives NULL, as AVG does
+    return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
 
 
 def yyyymm(ts: Column) -> Column:

@@ -66,3 +66,8 @@ def test_epoch_seconds_ignores_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [1710037800, 1710040200]  # wall clock, monotone across the DST gap
+
+
+def test_integer_average_of_only_nulls_is_null(spark):
+    df = spark.createDataFrame([(None,), (None,)], "d long")
+    assert df.select(int_div(F.sum("d"), F.count("d")).alias("a")).collect()[0].a is None
