@@ -91,3 +91,13 @@ def test_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(u_date_time," in pushed
     read_schema = scan.split("ReadSchema:")[1]
     assert read_schema.strip().startswith("struct<application_id:bigint,u_date_time:timestamp_ntz")
+
+
+def test_pairing_reuses_the_events_shuffle_under_aqe(spark):
+    from ledgerline.registry import Ctx
+
+    df = Ctx(spark, SF).pairs()
+    df.write.format("noop").mode("overwrite").save()
+    final = df._jdf.queryExecution().executedPlan().finalPhysicalPlan().toString()
+    lines = [line for line in final.split("\n") if "REPARTITION_BY_COL" in line]
+    assert len(lines) == 2 and sum("ReusedExchange" in line for line in lines) == 1
