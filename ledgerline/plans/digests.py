@@ -49,13 +49,13 @@ def status_log_digest(status_log: DataFrame) -> DataFrame:
     g = status_log.groupBy("id").agg(
         F.count(F.when(submit, F.lit(1))).alias("_n_submit"),
         F.count(F.when(submit, F.col("s_c_log_id"))).alias("_submits"),
-        F.max(F.when(F.col("s_id") == FUNDING_STATUS_ID, F.struct("created_date_time", "s_c_log_id"))).alias("_fun"),
+        F.max(F.when(F.col("s_id") == FUNDING_STATUS_ID, F.col("created_date_time"))).alias("fun_date_time"),
         F.min(F.when(F.col("s_id") == PACKAGE_RECEIVED_STATUS_ID, F.col("created_date_time"))).alias("first_package_time"),
     )
     return g.select(
         "id",
         F.when(F.col("_n_submit") > 0, F.col("_submits")).alias("cou_of_submits"),
-        F.col("_fun.created_date_time").alias("fun_date_time"),
+        "fun_date_time",
         "first_package_time",
     )
 
