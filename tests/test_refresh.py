@@ -74,3 +74,34 @@ def test_cli_turnaround_over_table_sources(spark, tmp_path):
     details = read_published(spark, f"{out}/{refresh.TURNAROUND_TABLES['details']}")
     assert details.count() > 0
     assert details.filter("type_1_time < timestamp_ntz'1999-08-01 00:00:00'").count() == 0
+
+
+def test_repeated_scope_key_raises(spark, tmp_path):
+    import pytest
+
+    from ledgerline.operators.keys import DuplicateKeyError
+
+    c = Ctx(spark, SF)
+    src = {n: c.src[n] for n in ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")}
+    src["ca"] = src["ca"].unionByName(src["ca"].limit(1))
+    with pytest.raises(DuplicateKeyError):
+        refresh.refresh_turnaround(spark, src, TEST_PARAMS, TEST_HOURS, str(tmp_path))
+
+
+def test_blank_date_parity_option(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.plans.snapshot import contract_flags
+
+    c = Ctx(spark, SF)
+    flags = contract_flags(c.snapshot_sources(), TEST_PARAMS.as_of, blank_date=dt.date(1900, 1, 1))
+    ca = c.src["ca"].select("id", "last_decisioned_ca_st_key")
+    j = flags.join(ca, "id")
+    not_app = j.filter(~F.coalesce(F.col("last_decisioned_ca_st_key").isin(4, 5), F.lit(False)))
+    assert not_app.count() > 0
+    assert not_app.filter(F.col("app_date") != F.lit(dt.date(1900, 1, 1))).count() == 0
+    default = contract_flags(c.snapshot_sources(), TEST_PARAMS.as_of).join(ca, "id")
+    assert default.filter(~F.coalesce(F.col("last_decisioned_ca_st_key").isin(4, 5), F.lit(False))
+                          & F.col("app_date").isNotNull()).count() == 0
