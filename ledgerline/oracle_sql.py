@@ -440,3 +440,37 @@ FROM ca
 })
 
 ORACLES["snapshot_roundtrip"] = ORACLES["wide_contract_snapshot"]
+
+
+# Output columns widened for the cross-engine comparison (see registry.engine_neutral):
+# DECIMAL -> DOUBLE and DATE -> TIMESTAMP, the same on both sides.
+_SNAPSHOT_DECIMALS = [
+    "gkrp", "s_price", "boo_r", "l_rate", "d_payment", "net_t_in", "extended_war", "ins_before_tax", "ltv_r",
+    "ltv_r_at_decision", "tds_r", "tds_v", "pti", "gross_in", "gross_in_combined", "amount_to_be_am_cap", "b_rate",
+    "le_fee_rate", "lo_re_value", "cpp_re_value", "oem_sub_amount_before_tax", "oem_sub_amount", "fun_sub_amount",
+    "msrp", "mo_ins_before_tax", "accident_health_insurance", "critical_illness_insurance", "tdsr_last_decision",
+    "sec_deposit", "r_value_original", "prim_an_income", "co_app_an_income", "co_si_an_income",
+]
+_SNAPSHOT_DATES = [
+    "sub_date", "app_date", "fun_date", "l_start_date", "l_end_date_original", "first_i_due_date", "def_from_date",
+    "def_until_date", "re_program_start_date", "l_end_date", "ve_delivery_date",
+]
+NEUTRAL_CASTS: dict[str, tuple[list[str], list[str]]] = {
+    "sendings_in_window": ([], ["full_date"]),
+    "sending_details": ([], ["fd_date"]),
+    "first_due_flagged": ([], ["first_i_due_date"]),
+    "annual_income_by_relation": (["ginome", "sub_a_inome", "antotal"], []),
+    "contract_flags": ([], ["app_date", "fun_date", "def_from_date", "def_until_date"]),
+    "wide_contract_snapshot": (_SNAPSHOT_DECIMALS, _SNAPSHOT_DATES),
+    "snapshot_roundtrip": (_SNAPSHOT_DECIMALS, _SNAPSHOT_DATES),
+}
+
+
+def _neutral(name: str, sql: str) -> str:
+    decimals, dates = NEUTRAL_CASTS[name]
+    casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in decimals] + [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates]
+    return f"SELECT * REPLACE ({', '.join(casts)}) FROM (\n{sql}\n) neutral_q"
+
+
+for _name in NEUTRAL_CASTS:
+    ORACLES[_name] = _neutral(_name, ORACLES[_name])

@@ -84,9 +84,29 @@ class Ctx:
         )
 
 
+def engine_neutral(df: DataFrame) -> DataFrame:
+    """Driver-facing output types: DECIMAL as DOUBLE and DATE as TIMESTAMP_NTZ.
+
+    The library computes money in DECIMAL and keeps dates as DATE; only the
+    results handed to the cross-engine comparison are widened, so that Spark and
+    DuckDB rows convert to the same Python values (DuckDB's pandas export turns
+    DECIMAL into float and DATE into Timestamp).
+    """
+    cols = []
+    for f in df.schema:
+        kind = f.dataType.typeName()
+        if kind == "decimal":
+            cols.append(F.col(f.name).cast("double").alias(f.name))
+        elif kind == "date":
+            cols.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
 def _q(build: Callable[[Ctx], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Ctx(spark, sf_dir))
+        return engine_neutral(build(Ctx(spark, sf_dir)))
 
     run.__name__ = build.__name__
     return run

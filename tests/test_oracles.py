@@ -34,3 +34,18 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert all(v[0] is True for v in results.values()), results
+
+
+def test_outputs_are_engine_neutral(spark):
+    """No DECIMAL or DATE reaches the cross-engine comparison on either side."""
+    import __spark_entry__ as entry
+    from oracle_runner import duck
+
+    con = duck(SF)
+    for name, q in entry.queries().items():
+        if name == "snapshot_roundtrip":
+            continue
+        kinds = {f.dataType.typeName() for f in q(spark, SF).schema}
+        assert not kinds & {"decimal", "date"}, name
+        types = {row[1] for row in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+        assert not any(t.startswith("DECIMAL") or t == "DATE" for t in types), (name, types)
