@@ -1,0 +1,17 @@
+"""Reusable DataFrame operators."""
+
+from ledgerline.operators.keys import (
+    assert_unique,
+    earliest_per_key,
+    first_last_per_key,
+    latest_per_key,
+    nth_per_key,
+    sequence_per_key,
+)
+from ledgerline.operators.pairing import pair_next_event
+from ledgerline.operators.summary import grouping_sets_summary, segment_summary, split_grains
+
+__all__ = [
+    "assert_unique", "earliest_per_key", "first_last_per_key", "latest_per_key", "nth_per_key", "sequence_per_key",
+    "pair_next_event", "grouping_sets_summary", "segment_summary", "split_grains",
+]

@@ -64,15 +64,23 @@ def publish(
     target: Sequence[tuple[str, DataType | None]] | None = None,
     version: str | None = None,
     keep: int = 2,
+    partition_by: Sequence[str] = (),
 ) -> str:
-    """Write ``df`` as the new current version of the table at ``base``; return its path."""
+    """Write ``df`` as the new current version of the table at ``base``; return its path.
+
+    ``partition_by`` lays the version out in folders (e.g. an event-month column of a
+    log), so later reads that filter on it prune whole folders.
+    """
     spark = df.sparkSession
     if target is not None:
         df = conform(df, target)
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
     staging = f"{base.rstrip('/')}/_staging_{version}"
     final = f"{base.rstrip('/')}/v={version}"
-    df.write.mode("errorifexists").parquet(staging)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(staging)
     fs, hstaging, jvm = _fs(spark, staging)
     if not fs.rename(hstaging, jvm.org.apache.hadoop.fs.Path(final)):
         raise OSError(f"could not move {staging} to {final}")

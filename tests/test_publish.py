@@ -25,3 +25,12 @@ def test_conform_orders_and_rejects(spark):
 
 def test_shared_dir_uses_session_checkpoint_dir(spark):
     assert shared_dir(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/"))
+
+
+def test_publish_partitioned_version(spark, tmp_path):
+    base = str(tmp_path / "p")
+    df = spark.createDataFrame([(1, 202401), (2, 202402)], "x int, m int")
+    path = publish(df, base, version="0001", partition_by=["m"])
+    assert sorted(p.name for p in (tmp_path / "p" / "v=0001").iterdir() if p.name.startswith("m=")) == ["m=202401", "m=202402"]
+    assert read_published(spark, base).filter("m = 202402").collect()[0].x == 2
+    assert path.endswith("v=0001")
