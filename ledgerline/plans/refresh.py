@@ -28,7 +28,7 @@ TURNAROUND_TABLES = {
     "month": "extract_data_sending_stats_per_m",
     "analyst_month": "extract_data_sending_stats_per_a_per_m",
 }
-SNAPSHOT_TABLE = "ca_tableau_detail"
+SNAPSHOT_TABLE = "contract_snapshot_detail"
 
 
 def refresh_turnaround(
@@ -40,12 +40,15 @@ def refresh_turnaround(
     bucket_seconds: int = 86_400,
     validate: bool = True,
     validate_bridge: bool = False,
+    tables: dict[str, str] | None = None,
 ) -> dict[str, str]:
     """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the
     published path per table. ``validate`` first asserts that the contract, date and
     dealer keys the scope joins on are unique (a repeated key would multiply events).
     ``validate_bridge`` also checks the application bridge; it is off by default
-    because it shuffles every application key (an order-sized table)."""
+    because it shuffles every application key (an order-sized table). ``tables``
+    overrides the published table names (keys as in ``TURNAROUND_TABLES``)."""
+    names = {**TURNAROUND_TABLES, **(tables or {})}
     ensure_checkpoint_dir(spark)
     if validate:
         assert_unique(src["ca"], ["id"], "contracts")
@@ -59,21 +62,26 @@ def refresh_turnaround(
     out = {
         "details": publish(
             wf.sending_details(pairs, src["ca"], src["ca_status"], sendings),
-            f"{out_base}/{TURNAROUND_TABLES['details']}",
+            f"{out_base}/{names['details']}",
             DETAILS_TARGET,
         )
     }
     grains = split_grains(grouping_sets_summary(pairs).checkpoint())
     for grain, df in grains.items():
-        out[grain] = publish(df, f"{out_base}/{TURNAROUND_TABLES[grain]}", SUMMARY_TARGETS[grain])
+        out[grain] = publish(df, f"{out_base}/{names[grain]}", SUMMARY_TARGETS[grain])
     return out
 
 
 def refresh_snapshot(
-    spark: SparkSession, sources: snap.SnapshotSources, params: RunParams, out_base: str, validate: bool = True
+    spark: SparkSession,
+    sources: snap.SnapshotSources,
+    params: RunParams,
+    out_base: str,
+    validate: bool = True,
+    table: str = SNAPSHOT_TABLE,
 ) -> str:
     """Publish the 102-column snapshot; ``validate`` asserts key uniqueness of the
     non-aggregated left-joined sources first."""
     ensure_checkpoint_dir(spark)
     df = snap.wide_contract_snapshot(sources, params.as_of, validate=validate)
-    return publish(df, f"{out_base}/{SNAPSHOT_TABLE}", SNAPSHOT_TARGET)
+    return publish(df, f"{out_base}/{table}", SNAPSHOT_TARGET)
