@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.broadcast import known_small
 from ledgerline.params import BusinessHours
 
 MAX_CALENDAR_DAYS = 200 * 366
@@ -79,7 +78,8 @@ def with_business_seconds(
     NULL when either side is NULL or falls outside the calendar; 0 when ``end`` is
     before ``start``.
     """
-    cal = known_small(calendar, hours.n_days())
+    # one row per day of the parameter range, capped by MAX_CALENDAR_DAYS: a proven size bound
+    cal = F.broadcast(calendar) if hours.n_days() <= MAX_CALENDAR_DAYS else calendar
     a = cal.select(*[F.col(c).alias(f"_a_{c}") for c in calendar.columns])
     b = cal.select(*[F.col(c).alias(f"_b_{c}") for c in calendar.columns])
     joined = df.join(a, F.to_date(F.col(start)) == F.col("_a_cal_day"), "left").join(
