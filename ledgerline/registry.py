@@ -31,13 +31,14 @@ TEST_HOURS = BusinessHours(
 )
 
 
-_SOURCES: dict[tuple[str, str], FixtureSources] = {}
+_SOURCES: dict[tuple[str, int, str], FixtureSources] = {}
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> FixtureSources:
-    """Fixture views per (application, folder): the lazy view DataFrames are built
-    once and reused by every query; each execution still reads the files in full."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """Fixture views per (application, session, folder): the lazy view DataFrames
+    are built once and reused by every query of that session; each execution still
+    reads the files in full."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     if key not in _SOURCES:
         _SOURCES[key] = FixtureSources(spark, sf_dir)
     return _SOURCES[key]
