@@ -42,6 +42,7 @@ def main(argv=None) -> None:
     ap.add_argument("--holidays", default="", help="comma-separated YYYY-MM-DD dates")
     ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
     ap.add_argument("--bucket-seconds", type=int, default=86_400, help="time bucket of the pairing shuffle")
+    ap.add_argument("--hot-rows", type=int, default=None, help="split buckets holding more rows than this")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.job}").getOrCreate()
@@ -61,7 +62,8 @@ def main(argv=None) -> None:
     if args.job == "turnaround":
         names = ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")
         out = refresh.refresh_turnaround(
-            spark, {n: src[n] for n in names}, params, hours, args.out, bucket_seconds=args.bucket_seconds
+            spark, {n: src[n] for n in names}, params, hours, args.out,
+            bucket_seconds=args.bucket_seconds, hot_rows=args.hot_rows,
         )
     else:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})

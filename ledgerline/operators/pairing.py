@@ -42,11 +42,19 @@ def pair_next_event(
     role: str = "role",
     track: str | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_rows: int | None = None,
+    fine_seconds: int = 60,
 ) -> DataFrame:
     """``events``: rows with ``role`` = ``'start'`` or ``'outcome'``.
 
     Returns one row per (track, key, start ts): ``[track,] key, type_1, type_1_time,
     type_1_by, type_2, type_2_time, type_2_by``.
+
+    ``hot_rows``: buckets holding more rows than this are cut into ``fine_seconds``
+    slices (found by one counting pass; the hot-bucket list is at most
+    rows / ``hot_rows`` long). The bucket id stays monotone in time, so the result
+    is unchanged; only the work is spread further. Rows sharing one instant cannot
+    be split by time.
     """
     part = ([track] if track else []) + [key]
     ev = events.select(
@@ -56,7 +64,7 @@ def pair_next_event(
         F.col(by).alias("_by"),
         (F.col(role) == F.lit("start")).alias("_is_start"),
     )
-    ev = ev.withColumn("_bucket", F.floor(epoch_seconds(ev, "_ts") / F.lit(bucket_seconds)))
+    ev = _with_bucket(ev, part, bucket_seconds, hot_rows, fine_seconds)
     outcome = F.when(~F.col("_is_start"), F.struct(F.col("_ts").alias("ts"), F.col("_name").alias("name"), F.col("_by").alias("by")))
 
     # one shuffle of the events on (track, key, bucket), reused by the bucket
@@ -112,3 +120,21 @@ def pair_next_event(
         F.col("_hit.ts").alias("type_2_time"),
         F.col("_hit.by").alias("type_2_by"),
     )
+
+
+def _with_bucket(ev: DataFrame, part, bucket_seconds: int, hot_rows: int | None, fine_seconds: int) -> DataFrame:
+    """``_bucket`` = coarse time bucket, or for hot buckets coarse * M + fine slice."""
+    secs = epoch_seconds(ev, "_ts")
+    coarse = F.floor(secs / F.lit(bucket_seconds))
+    if not hot_rows:
+        return ev.withColumn("_bucket", coarse)
+    slices = bucket_seconds // fine_seconds + 1
+    ev = ev.withColumn("_coarse", coarse)
+    hot = (
+        ev.groupBy(*part, "_coarse").count().filter(F.col("count") > hot_rows)
+        .select(*part, "_coarse", F.lit(True).alias("_hot"))
+    )
+    fine = F.floor((secs - F.col("_coarse") * bucket_seconds) / F.lit(fine_seconds))
+    ev = ev.join(hot, [*part, "_coarse"], "left")
+    bucket = F.col("_coarse") * slices + F.when(F.col("_hot"), fine).otherwise(F.lit(0))
+    return ev.withColumn("_bucket", bucket).drop("_coarse", "_hot")

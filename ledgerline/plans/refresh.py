@@ -41,6 +41,7 @@ def refresh_turnaround(
     validate: bool = True,
     validate_bridge: bool = False,
     tables: dict[str, str] | None = None,
+    hot_rows: int | None = None,
 ) -> dict[str, str]:
     """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the
     published path per table. ``validate`` first asserts that the contract, date and
@@ -58,7 +59,7 @@ def refresh_turnaround(
         assert_unique(src["app"], ["application_id"], "application bridge")
     sendings = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
     events = wf.wf_events(src["wf_history"], src["app"], sendings, params)
-    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds).checkpoint()
+    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds, hot_rows).checkpoint()
     out = {
         "details": publish(
             wf.sending_details(pairs, src["ca"], src["ca_status"], sendings),

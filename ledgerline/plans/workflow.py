@@ -105,14 +105,18 @@ def pairing_input(events: DataFrame) -> DataFrame:
 
 
 def turnaround_pairs(
-    spark: SparkSession, events: DataFrame, hours: BusinessHours, bucket_seconds: int = 86_400
+    spark: SparkSession,
+    events: DataFrame,
+    hours: BusinessHours,
+    bucket_seconds: int = 86_400,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Both pairings (``track`` = ready / def_new_doc) with business-time duration.
 
     Columns: ``track, ca_id, type_1, type_1_time, type_1_by, type_2, type_2_time,
     type_2_by, type_1_to_type_2_duration``.
     """
-    pairs = pair_next_event(pairing_input(events), track="track", bucket_seconds=bucket_seconds)
+    pairs = pair_next_event(pairing_input(events), track="track", bucket_seconds=bucket_seconds, hot_rows=hot_rows)
     cal = business_calendar(spark, hours)
     return with_business_seconds(pairs, "type_1_time", "type_2_time", "type_1_to_type_2_duration", cal, hours)
 
