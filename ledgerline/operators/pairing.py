@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.caltime import epoch_seconds
+from ledgerline.operators.keys import with_time_bucket
 
 DEFAULT_BUCKET_SECONDS = 86_400
 
@@ -64,7 +64,7 @@ def pair_next_event(
         F.col(by).alias("_by"),
         (F.col(role) == F.lit("start")).alias("_is_start"),
     )
-    ev = _with_bucket(ev, part, bucket_seconds, hot_rows, fine_seconds)
+    ev = with_time_bucket(ev, part, "_ts", "_bucket", bucket_seconds, hot_rows, fine_seconds)
     outcome = F.when(~F.col("_is_start"), F.struct(F.col("_ts").alias("ts"), F.col("_name").alias("name"), F.col("_by").alias("by")))
 
     # one shuffle of the events on (track, key, bucket), reused by the bucket
@@ -121,20 +121,3 @@ def pair_next_event(
         F.col("_hit.by").alias("type_2_by"),
     )
 
-
-def _with_bucket(ev: DataFrame, part, bucket_seconds: int, hot_rows: int | None, fine_seconds: int) -> DataFrame:
-    """``_bucket`` = coarse time bucket, or for hot buckets coarse * M + fine slice."""
-    secs = epoch_seconds(ev, "_ts")
-    coarse = F.floor(secs / F.lit(bucket_seconds))
-    if not hot_rows:
-        return ev.withColumn("_bucket", coarse)
-    slices = bucket_seconds // fine_seconds + 1
-    ev = ev.withColumn("_coarse", coarse)
-    hot = (
-        ev.groupBy(*part, "_coarse").count().filter(F.col("count") > hot_rows)
-        .select(*part, "_coarse", F.lit(True).alias("_hot"))
-    )
-    fine = F.floor((secs - F.col("_coarse") * bucket_seconds) / F.lit(fine_seconds))
-    ev = ev.join(hot, [*part, "_coarse"], "left")
-    bucket = F.col("_coarse") * slices + F.when(F.col("_hot"), fine).otherwise(F.lit(0))
-    return ev.withColumn("_bucket", bucket).drop("_coarse", "_hot")
