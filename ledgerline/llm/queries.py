@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import languages, multiset_hash, piece_tokens, pii, quality, secret_tags
+from ledgerline.llm import decontaminate, languages, multiset_hash, piece_tokens, pii, quality, secret_tags, simhash
 from ledgerline.llm.rows import held_out, map_texts, sha256_hex, stored
 
 
@@ -76,6 +76,21 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_texts(docs, "text", make, fields, ["doc_id"])
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document (trie self-join)."""
+    out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document (prefix-filtered set join)."""
+    out = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprint of every document, of its edited text, and their likeness."""
 
@@ -110,8 +125,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_private_data": op4_private_data,
     "op5_secrets": op5_secrets,
+    "op7_simhash": op7_simhash,
+    "op8_decontamination": op8_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_piece_tokens": op10_piece_tokens,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_decontamination": decontaminate.ORACLE}
