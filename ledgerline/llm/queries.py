@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, languages, multiset_hash, piece_tokens, pii, quality, secret_tags, simhash
+from ledgerline.llm import decontaminate, languages, multiset_hash, piece_tokens, pii, quality, secret_tags, simhash, url_templates
 from ledgerline.llm.rows import held_out, map_texts, sha256_hex, stored
 
 
@@ -76,6 +76,12 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_texts(docs, "text", make, fields, ["doc_id"])
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every url (path-template trees)."""
+    out = url_templates.judged(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document (trie self-join)."""
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -125,10 +131,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_private_data": op4_private_data,
     "op5_secrets": op5_secrets,
+    "op6_url_filter": op6_url_filter,
     "op7_simhash": op7_simhash,
     "op8_decontamination": op8_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_piece_tokens": op10_piece_tokens,
 }
 
-ORACLES: dict[str, str] = {"op8_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op6_url_filter": url_templates.ORACLE, "op8_decontamination": decontaminate.ORACLE}
