@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, languages, multiset_hash, piece_tokens, pii, quality, secret_tags, simhash, url_templates
+from ledgerline.llm import decontaminate, languages, multiset_hash, passages, piece_tokens, pii, quality, secret_tags, simhash, url_templates
 from ledgerline.llm.rows import held_out, map_texts, sha256_hex, stored
 
 
@@ -23,6 +23,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuzzy passages that documents share (collinear chaining)."""
+    return passages.shared_passages(_table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document (hyperdimensional profiles)."""
     docs = _table(spark, sf_dir, "documents")
@@ -128,6 +133,7 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_passages": op2_passages,
     "op3_language": op3_language,
     "op4_private_data": op4_private_data,
     "op5_secrets": op5_secrets,
