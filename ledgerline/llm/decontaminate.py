@@ -137,6 +137,14 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **n
     )
 
 
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", id_col: str = "doc_id", **names) -> DataFrame:
+    """The rows of ``docs`` in which no window of an item occurs."""
+    _, runs = occurrences(docs, items, text=text, id_col=id_col, **names)
+    tainted = stored(runs.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct())
+    same = F.col(_q(id_col)).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(_q(text)).cast("string")) == F.col("__hash"))
+    return docs.join(_sized(tainted, tainted.count()), same, "left_anti")
+
+
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

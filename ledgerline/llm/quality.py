@@ -207,3 +207,20 @@ def scored(stats: DataFrame, model: QualityModel, keep: Sequence[str] = ("doc_id
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32), pa.int32())], schema=target)
 
     return stats.select(*[_q(c) for c in keep], "stats").mapInArrow(run, schema)
+
+
+def accepted(df: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``df`` whose text scores 0.5 or more under a model fitted on its labelled rows."""
+    learning = df.where(F.col(_q(id_col)).isNotNull() & ~held_out(F.col(_q(id_col))))
+    model = fit(with_statistics(learning, text, [id_col]).withColumnRenamed(id_col, "doc_id"), labels.withColumnRenamed(id_col, "doc_id"))
+    columns = list(df.columns)
+
+    def make():
+        def fn(texts):
+            stats = np.array([statistics(t) for t in texts]).reshape(-1, len(STATS))
+            return {"__good": (model.score(stats) >= 0.5).tolist()}
+
+        return fn
+
+    rows = map_texts(df, text, make, [("__good", "boolean")], columns)
+    return rows.where("__good").select(*[_q(c) for c in columns])

@@ -216,13 +216,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE, max_bits: int = MAX_BITS, unit: int = UNIT
+    df: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), shingle: int = SHINGLE, max_bits: int = MAX_BITS, unit: int = UNIT
 ) -> DataFrame:
-    """(id, fp, component_id) for each row of ``df``; fp is the signed fingerprint."""
-    docs = stored(with_fingerprints(df, text, [id_col], shingle).select(F.col(_q(id_col)).alias("id"), "fp"))
-    firsts = docs.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(forest(firsts.select("fp"), max_bits, unit))
-    placed = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    """``keep``, fp, root and component_id for each row of ``df``: the signed fingerprint, the least one
+    of its component, and the least value that the first column of ``keep`` has in the component."""
+    keep = [c for c in keep if c not in ("fp", "root", "component_id")]
+    docs = stored(with_fingerprints(df, text, keep, shingle))
+    firsts = docs.groupBy("fp").agg(F.min(F.col(_q(keep[0]))).alias("first"))
+    roots = components(forest(firsts.select("fp"), max_bits, unit)).withColumnRenamed("root", "least")
+    placed = firsts.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("least", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = placed.join(least, "root").select("fp", "component_id")
-    return docs.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    classes = placed.join(least, "root").select("fp", "root", "component_id")
+    return docs.join(classes, "fp").select(*[_q(c) for c in keep], "fp", "root", "component_id")
+
+
+def one_of_each(df: DataFrame, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """``df`` with one row of each component: the one with the least id (a null id only if all are
+    null); of several texts with that id the one with the least hash, of equal rows any one."""
+    marked = df.withColumn("__hash", F.xxhash64(F.col(_q(text)).cast("string"))).withColumn("__none", F.col(_q(id_col)).isNull())
+    marked = marked.withColumn("__id", F.coalesce(F.col(_q(id_col)), F.lit(0)))
+    keys = ["__id", "__none", "__hash"]
+    found = near_duplicates(marked, text, keys, **options)
+    kept = found.groupBy("root").agg(F.min(F.struct("__none", "__id", "__hash")).alias("k")).select("k.*")
+    return marked.join(kept, keys, "left_semi").dropDuplicates(keys).select(*[_q(c) for c in df.columns])
