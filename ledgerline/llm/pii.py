@@ -4,7 +4,8 @@ Candidate spans come from strict patterns (the base, which always stays) and fro
 Labelers (regex, checksum, gazetteer, context, border, grouping) vote 1, -1 or 0 on each candidate.
 Expectation-maximisation over the counted vote patterns of all texts estimates how reliable
 each labeler is; the posteriors then train a logistic span classifier on votes and shape.
-A loose candidate that the classifier accepts and that overlaps no base span becomes a span.
+A loose candidate that the classifier accepts, that passes its checksum and that overlaps no base
+span becomes a span.
 
 The corpus is only counted: one row per distinct pattern reaches the driver, and the patterns
 are products of small finite sets. Texts are read once to count and once to apply.
@@ -225,7 +226,7 @@ def spans(text: str | None, model: SpanModel) -> list[tuple[str, int, int, bool,
     out, taken = [], []
     for k, s, e, strict, p in sorted(candidates(text, base), key=lambda c: (not c[3], c[0], c[1])):
         score = model.score(k, p)
-        if strict or (score >= ACCEPT and not any(a < e and s < b for a, b in taken)):
+        if strict or (score >= ACCEPT and p[1] >= 0 and not any(a < e and s < b for a, b in taken)):
             taken.append((s, e))
             out.append((k, s, e, strict, score))
     return [(KINDS[k], s, e, strict, score) for k, s, e, strict, score in sorted(out)]
