@@ -83,9 +83,8 @@ def _attribute_expr(position: int, name: str, kind: str, key: str, amount: str,
         return f"cast({key} % {mod * 7} as int) as {name}"
     if kind == "dec":
         return f"cast(cast({amount} as decimal(18,2)) * {position + 1} as decimal(18,2)) as {name}"
-    if kind == "date0":
-        return f"cast({d0} as date) as {name}"
-    return f"cast({d1} as date) as {name}"
+    # another day for each column, so that swapped columns show
+    return f"cast({d0 if kind == 'date0' else d1} + interval '{position}' day as date) as {name}"
 
 
 def _view_sql(dialect: str) -> dict[str, str]:
@@ -119,7 +118,7 @@ def _view_sql(dialect: str) -> dict[str, str]:
   {_key('first_ts')} AS last_decisioned_date_key,
   {_key('last_ts')} AS funing_date_key,
   c_nationkey AS d_key,
-  cast(c_custkey % 10 as int) AS mk_program_detail_id,
+  CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN -1 ELSE cast(c_custkey as int) END AS mk_program_detail_id,
   cast(c_custkey % 2 as int) AS funing_port_key,
   {contract_attrs}
 FROM {{customer}} JOIN {{cust_dates}} ON c_custkey = ca_id""",
@@ -191,20 +190,26 @@ FROM {nation}""",
         "mk_program": """SELECT cast(p_partkey as int) AS mk_program_detail_id,
   concat(p_type, CASE WHEN p_partkey % 3 = 0 THEN ' ALT' WHEN p_partkey % 3 = 1 THEN ' alt' ELSE ' std' END)
     AS mk_program_name
-FROM {part} WHERE p_partkey < 8""",
-        "l_def": """SELECT c_custkey AS id, cast('1999-01-01' as date) AS def_from_date,
-  cast('1999-07-01' as date) AS def_until_date
-FROM {customer} WHERE c_acctbal < -500""",
-        "major_dgg": """SELECT c_custkey AS id,
-  CASE WHEN c_custkey % 8 = 1 THEN 'O' WHEN c_custkey % 8 = 2 THEN NULL ELSE 'X' END AS ptype
-FROM {customer} WHERE c_custkey % 4 > 0""",
+FROM {part}""",
+        # sparse sides: there are fewer suppliers than contracts, and every supplier row counts
+        "l_def": """SELECT s_suppkey * 11 AS id,
+  make_date(1999, cast(1 + s_suppkey % 6 as int), cast(1 + s_suppkey % 28 as int)) AS def_from_date,
+  make_date(1999, cast(7 + s_suppkey % 6 as int), cast(1 + s_suppkey % 27 as int)) AS def_until_date
+FROM {supplier}""",
+        "major_dgg": "\nUNION ALL ".join(
+            f"""SELECT (s_suppkey * 3) % 97 * 5 + {k} AS id,
+  CASE (s_suppkey + {k}) % 4 WHEN 1 THEN 'O' WHEN 2 THEN NULL ELSE 'X' END AS ptype
+FROM {{supplier}}"""
+            for k in (0, 2, 3)
+        ),
         "bureau": """SELECT c_custkey AS id,
   CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE cast(c_custkey % 3 as int) END AS prebankre
 FROM {customer}""",
-        "res_adj": """SELECT c_custkey AS id, 'P1' AS re_program, cast('2000-01-01' as date) AS re_program_start_date
-FROM {customer} WHERE c_custkey % 11 = 0""",
-        "exposure": "SELECT c_custkey AS most_recent_app FROM {customer} WHERE c_custkey % 25 = 0",
-        "dis_report": "SELECT c_custkey AS contract_id, 'Open' AS current_status FROM {customer} WHERE c_custkey % 30 = 0",
+        "res_adj": """SELECT s_suppkey * 7 AS id, concat('P', cast(s_suppkey as string)) AS re_program,
+  make_date(2000, cast(1 + s_suppkey % 12 as int), cast(1 + s_suppkey % 28 as int)) AS re_program_start_date
+FROM {supplier}""",
+        "exposure": "SELECT s_suppkey * 5 AS most_recent_app FROM {supplier}",
+        "dis_report": "SELECT s_suppkey * 9 AS contract_id, concat('Open', cast(s_nationkey as string)) AS current_status FROM {supplier}",
     }
 
 
@@ -214,8 +219,8 @@ VIEW_DEPS = {
     "wf_history_t": ("wf_history",), "s_c_log": ("events",), "ino_decisions": ("lineitem", "orders"),
     "delinq_detail": ("lineitem", "orders"), "delinq_summary": ("customer",), "trans_return": ("orders",),
     "ino_c": ("lineitem",), "funding_data": ("customer",), "dealer": ("nation",), "ams": ("region",),
-    "mk_program": ("part",), "l_def": ("customer",), "major_dgg": ("customer",), "bureau": ("customer",),
-    "res_adj": ("customer",), "exposure": ("customer",), "dis_report": ("customer",),
+    "mk_program": ("part",), "l_def": ("supplier",), "major_dgg": ("supplier",), "bureau": ("customer",),
+    "res_adj": ("supplier",), "exposure": ("supplier",), "dis_report": ("supplier",),
 }
 VIEWS = tuple(VIEW_DEPS)
 
