@@ -1,8 +1,8 @@
 """SparkSession helpers.
 
 Library code never creates a session; these helpers are for tests, the bench and
-command-line use. The checkpoint folder is taken from the session when the cluster
-names one (``spark.checkpoint.dir``) and only set here when it is unset.
+command-line use. Only ``local_session`` picks a checkpoint folder, and only when the
+session names none.
 """
 
 from __future__ import annotations
@@ -32,21 +32,27 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
     builder = builder.config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEMORY", "12g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerline-ckpt-"))  # one machine only
+    checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if none is named.
+class NoCheckpointDir(RuntimeError):
+    pass
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is left alone.
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; the library never picks one itself.
+
+    A folder set with ``SparkContext.setCheckpointDir`` wins and is left alone; else
+    ``spark.checkpoint.dir`` is used. Raises ``NoCheckpointDir`` if neither is set.
     """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    local_dir = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_dir)
-    spark.sparkContext.setCheckpointDir(local_dir)
-    return local_dir
+    if not conf_dir:
+        raise NoCheckpointDir("no checkpoint folder: set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(conf_dir)
+    return conf_dir

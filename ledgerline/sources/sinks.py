@@ -2,9 +2,11 @@
 
 The reference empties its targets first and refills them much later, so readers
 see empty tables in between. Here every refresh writes a complete new version
-into a staging folder (ignored by readers because it starts with ``_``), then
-renames it to ``v=<version>``; readers take the newest ``v=`` folder. Old
-versions beyond ``keep`` are removed after the new one is visible.
+into its own folder ``v=<version>`` and then adds a small numbered file to the
+commit log; readers take the version that the last commit names. Nothing is
+renamed, so this also holds on object stores, and the order of versions is the
+order of commits, whatever the versions are called. Versions of commits before
+the ``keep`` latest are removed once the new one is visible.
 
 Columns are matched to the target by name and order (``conform``), never by
 position alone.
@@ -16,11 +18,15 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 
+COMMITS = "_commits"
+
+
 class SchemaMismatch(ValueError):
     pass
 
@@ -46,18 +52,44 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
 
 
-def _versions(spark: SparkSession, base: str) -> list[str]:
-    fs, hbase, _ = _fs(spark, base)
-    if not fs.exists(hbase):
+def _commits(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """(number, version) of the finished commits, oldest first. A commit file that was cut
+    short has no closing newline and does not count."""
+    fs, log, jvm = _fs(spark, f"{base.rstrip('/')}/{COMMITS}")
+    if not fs.exists(log):
         return []
     out = []
-    for st in fs.listStatus(hbase):
+    for st in fs.listStatus(log):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            out.append(name[2:])
+        if name.isdigit():
+            stream = fs.open(st.getPath())
+            try:
+                text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith("\n"):
+                out.append((int(name), text[:-1]))
     return sorted(out)
 
 
+def _commit(spark: SparkSession, base: str, version: str) -> None:
+    """Add the next commit file; of two writers of one number the later takes the next."""
+    number = max([n for n, _ in _commits(spark, base)], default=0) + 1
+    while True:
+        fs, path, jvm = _fs(spark, f"{base.rstrip('/')}/{COMMITS}/{number:020d}")
+        if not fs.exists(path):
+            try:
+                stream = fs.create(path, False)
+            except Py4JJavaError as e:
+                if "FileAlreadyExists" not in str(e.java_exception):
+                    raise
+            else:
+                stream.write(bytearray(f"{version}\n".encode()))
+                stream.close()
+                return
+        number += 1
+
+
 def publish(
     df: DataFrame,
     base: str,
@@ -69,37 +101,37 @@ def publish(
     """Write ``df`` as the new current version of the table at ``base``; return its path.
 
     ``partition_by`` lays the version out in folders (e.g. an event-month column of a
-    log), so later reads that filter on it prune whole folders.
+    log), so later reads that filter on it prune whole folders. The ``keep`` latest
+    commits stay (the one just made always does).
     """
     spark = df.sparkSession
     if target is not None:
         df = conform(df, target)
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
-    staging = f"{base.rstrip('/')}/_staging_{version}"
     final = f"{base.rstrip('/')}/v={version}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(staging)
-    fs, hstaging, jvm = _fs(spark, staging)
-    if not fs.rename(hstaging, jvm.org.apache.hadoop.fs.Path(final)):
-        raise OSError(f"could not move {staging} to {final}")
-    for old in _versions(spark, base)[:-keep] if keep > 0 else []:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={old}"), True)
+    writer.parquet(final)
+    _commit(spark, base, version)
+    done = _commits(spark, base)
+    current = {v for _, v in done[-max(1, keep) :]}
+    for number, old in done[: -max(1, keep)]:
+        fs, log, jvm = _fs(spark, f"{base.rstrip('/')}/{COMMITS}/{number:020d}")
+        if old not in current:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/v={old}"), True)
+        fs.delete(log, False)
     return final
 
 
 def read_published(spark: SparkSession, base: str) -> DataFrame:
-    """The current (newest complete) version of a published table."""
-    versions = _versions(spark, base)
-    if not versions:
+    """The last committed version of a published table."""
+    done = _commits(spark, base)
+    if not done:
         raise FileNotFoundError(f"nothing published at {base}")
-    return spark.read.parquet(f"{base.rstrip('/')}/v={versions[-1]}")
-
+    return spark.read.parquet(f"{base.rstrip('/')}/v={done[-1][1]}")
 
-def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A folder under the cluster's shared checkpoint location (``spark.checkpoint.dir``)."""
-    from ledgerline.session import ensure_checkpoint_dir
 
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([root, *parts])
+def warehouse_dir(spark: SparkSession, *parts: str) -> str:
+    """A folder in the warehouse (``spark.sql.warehouse.dir``), where published tables live."""
+    return "/".join([spark.conf.get("spark.sql.warehouse.dir").rstrip("/"), *parts])
