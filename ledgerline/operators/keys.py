@@ -92,40 +92,15 @@ def assert_unique(df: DataFrame, keys: Sequence[str], name: str = "input") -> Da
 _NULL_BUCKET = -(2**62)
 
 
-def with_time_bucket(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    out: str,
-    bucket_seconds: int,
-    hot_rows: int | None = None,
-    fine_seconds: int = 60,
-) -> DataFrame:
-    """Add ``out``: a time bucket that is monotone in ``ts`` (NULL time first).
+#: One hour: a key's rows meet in one task only if they fall in the same hour.
+BUCKET_SECONDS = 3_600
 
-    Plain: ``floor(epoch / bucket_seconds)``. With ``hot_rows``, one counting pass
-    finds (keys, bucket) groups above that size -- at most rows / ``hot_rows`` of
-    them -- and only those are cut into ``fine_seconds`` slices, so a group hot
-    within a single bucket is spread further while every other group keeps one id.
-    """
+
+def with_time_bucket(df: DataFrame, ts: str, out: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Add ``out``: a time bucket that is monotone in ``ts`` (NULL time first)."""
     from ledgerline.functions.caltime import epoch_seconds
 
-    secs = epoch_seconds(df, ts)
-    coarse = F.coalesce(F.floor(secs / F.lit(bucket_seconds)), F.lit(_NULL_BUCKET))
-    if not hot_rows:
-        return df.withColumn(out, coarse)
-    slices = bucket_seconds // fine_seconds + 1
-    b = df.withColumn("_coarse", coarse)
-    hot = (
-        b.groupBy(*keys, "_coarse").count().filter(F.col("count") > hot_rows)
-        .select(*keys, "_coarse", F.lit(True).alias("_hot"))
-    )
-    raw = F.floor(secs / F.lit(bucket_seconds))
-    fine = F.floor((secs - raw * bucket_seconds) / F.lit(fine_seconds))
-    b = b.join(hot, [*keys, "_coarse"], "left")
-    split = raw * slices + F.when(F.col("_hot"), fine).otherwise(F.lit(0))
-    bucket = F.when(F.col(ts).isNull(), F.lit(_NULL_BUCKET)).otherwise(split)
-    return b.withColumn(out, bucket).drop("_coarse", "_hot")
+    return df.withColumn(out, F.coalesce(F.floor(epoch_seconds(df, ts) / F.lit(bucket_seconds)), F.lit(_NULL_BUCKET)))
 
 
 def sequence_per_key(
@@ -134,27 +109,26 @@ def sequence_per_key(
     ts: str,
     tiebreak: Sequence[str] = (),
     out: str = "seq_no",
-    bucket_seconds: int = 86_400,
-    hot_rows: int | None = None,
-    fine_seconds: int = 60,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
-    """``row_number()`` over ``keys`` ordered by ``ts`` then ``tiebreak`` (NULLs first),
-    computed without putting a whole key into one task.
+    """``row_number()`` over ``keys`` ordered by ``ts``, ``tiebreak``, then the other columns
+    (NULLs first), computed without putting a whole key into one task.
 
     Rows are numbered inside time buckets (``with_time_bucket``; one shuffle on
     ``keys + bucket``); each bucket's offset is a running sum over the per-bucket
     row counts (one small row per key and bucket). Equal to the plain window
-    because buckets are monotone in ``ts``.
+    because buckets are monotone in ``ts``. Both branches number the same rows by all
+    columns, so they share one shuffle and ``df`` is read once.
     """
     grp = list(keys) + ["_seq_bucket"]
-    b = with_time_bucket(df, keys, ts, "_seq_bucket", bucket_seconds, hot_rows, fine_seconds).repartition(*grp)
-    counts = b.groupBy(*grp).agg(F.count(F.lit(1)).alias("_n"))
+    b = with_time_bucket(df, ts, "_seq_bucket", bucket_seconds).repartition(*grp)
+    order = [ts, *tiebreak, *[c for c in df.columns if c not in {*keys, ts, *tiebreak}]]
+    local = Window.partitionBy(*grp).orderBy(*[F.col(c).asc() for c in order])
+    numbered = b.withColumn("_local", F.row_number().over(local)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*grp)))
     before = Window.partitionBy(*keys).orderBy("_seq_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*grp, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    local = Window.partitionBy(*grp).orderBy(F.col(ts).asc(), *[F.col(c).asc() for c in tiebreak])
-    numbered = b.withColumn("_local", F.row_number().over(local))
+    offsets = numbered.filter(F.col("_local") == 1).select(*grp, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        numbered.join(offsets, grp, "inner")
+        numbered.drop("_n").join(offsets, grp, "inner")
         .withColumn(out, (F.col("_offset") + F.col("_local")).cast("bigint"))
         .drop("_seq_bucket", "_local", "_offset")
     )

@@ -28,9 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import with_time_bucket
-
-DEFAULT_BUCKET_SECONDS = 86_400
+from ledgerline.operators.keys import BUCKET_SECONDS, with_time_bucket
 
 
 def pair_next_event(
@@ -41,20 +39,15 @@ def pair_next_event(
     by: str = "u_by",
     role: str = "role",
     track: str | None = None,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_rows: int | None = None,
-    fine_seconds: int = 60,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """``events``: rows with ``role`` = ``'start'`` or ``'outcome'``.
 
     Returns one row per (track, key, start ts): ``[track,] key, type_1, type_1_time,
     type_1_by, type_2, type_2_time, type_2_by``.
 
-    ``hot_rows``: buckets holding more rows than this are cut into ``fine_seconds``
-    slices (found by one counting pass; the hot-bucket list is at most
-    rows / ``hot_rows`` long). The bucket id stays monotone in time, so the result
-    is unchanged; only the work is spread further. Rows sharing one instant cannot
-    be split by time.
+    The bucket id is monotone in time, so its width changes the spread of the work
+    and not the result. Rows sharing one instant cannot be split by time.
     """
     part = ([track] if track else []) + [key]
     ev = events.select(
@@ -64,7 +57,7 @@ def pair_next_event(
         F.col(by).alias("_by"),
         (F.col(role) == F.lit("start")).alias("_is_start"),
     )
-    ev = with_time_bucket(ev, part, "_ts", "_bucket", bucket_seconds, hot_rows, fine_seconds)
+    ev = with_time_bucket(ev, "_ts", "_bucket", bucket_seconds)
     outcome = F.when(~F.col("_is_start"), F.struct(F.col("_ts").alias("ts"), F.col("_name").alias("name"), F.col("_by").alias("by")))
 
     # one shuffle of the events on (track, key, bucket), reused by the bucket

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
-from ledgerline.operators.keys import latest_per_key, nth_per_key, sequence_per_key
+from ledgerline.operators.keys import BUCKET_SECONDS, sequence_per_key
 from ledgerline.operators.pairing import pair_next_event
 from ledgerline.params import (
     BOOKED_STATUS_KEY,
@@ -75,7 +75,7 @@ def wf_events(history: DataFrame, app: DataFrame, sendings: DataFrame, params: R
     return ev.select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by")
 
 
-def wf_events_by_state(events: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
+def wf_events_by_state(events: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """All events per class with their sequence number per contract (ascending
     time; ties by actor then state name, NULLs first). Numbered per time bucket
     plus a running offset, so a very active contract is spread over many tasks."""
@@ -108,15 +108,14 @@ def turnaround_pairs(
     spark: SparkSession,
     events: DataFrame,
     hours: BusinessHours,
-    bucket_seconds: int = 86_400,
-    hot_rows: int | None = None,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Both pairings (``track`` = ready / def_new_doc) with business-time duration.
 
     Columns: ``track, ca_id, type_1, type_1_time, type_1_by, type_2, type_2_time,
     type_2_by, type_1_to_type_2_duration``.
     """
-    pairs = pair_next_event(pairing_input(events), track="track", bucket_seconds=bucket_seconds, hot_rows=hot_rows)
+    pairs = pair_next_event(pairing_input(events), track="track", bucket_seconds=bucket_seconds)
     cal = business_calendar(spark, hours)
     return with_business_seconds(pairs, "type_1_time", "type_2_time", "type_1_to_type_2_duration", cal, hours)
 
@@ -134,13 +133,11 @@ def track_details(pairs: DataFrame, track: str) -> DataFrame:
 def sending_details(pairs: DataFrame, ca: DataFrame, ca_status: DataFrame, sendings: DataFrame) -> DataFrame:
     """Published detail table (11 columns): both tracks, current status name,
     sending date; distinct rows."""
-    status = ca_status.select("ca_st_key", "ca_s_name")
-    cur = ca.select(F.col("id").alias("ca_id"), "ca_st_key").join(status, "ca_st_key", "left")
-    out = (
-        pairs.select(*DETAIL_COLUMNS)
-        .join(cur.select("ca_id", "ca_s_name"), "ca_id", "left")
-        .join(sendings.select("ca_id", F.col("full_date").alias("fd_date")), "ca_id", "left")
-    )
+    # a pair is unique on its track; only the narrow rows of both tracks are made distinct, then
+    # enriched on the contract, and the few status names come last
+    narrow = pairs.select(*DETAIL_COLUMNS).distinct()
+    scope = ca.select(F.col("id").alias("ca_id"), "ca_st_key").join(sendings.select("ca_id", F.col("full_date").alias("fd_date")), "ca_id", "left")
+    out = narrow.join(scope, "ca_id", "left").join(ca_status.select("ca_st_key", "ca_s_name"), "ca_st_key", "left")
     return out.select(
         "ca_id",
         F.col("ca_s_name").alias("c_s"),
@@ -148,7 +145,7 @@ def sending_details(pairs: DataFrame, ca: DataFrame, ca_status: DataFrame, sendi
         F.col("type_1_to_type_2_duration").alias("type_1_to_type_2_duration_in_seconds"),
         format_hms(F.col("type_1_to_type_2_duration")).alias("type_1_to_type_2_duration_hms"),
         "fd_date",
-    ).distinct()
+    )
 
 
 def current_wf_state(
@@ -159,14 +156,16 @@ def current_wf_state(
     ev = history.filter(
         (F.col("wf_state_type_name") == SENDING_STATE_TYPE)
         & (F.col("u_date_time") >= F.lit(params.start).cast("timestamp_ntz"))
-    ).join(app.select("application_id", "ca_id"), "application_id", "inner")
-    ev = ev.join(ca.select(F.col("id").alias("ca_id")), "ca_id", "left_semi")
+    )
+    last = F.max(F.struct("u_date_time", "wf_state_name"))
+    per_app = ev.groupBy("application_id").agg(last.alias("last")).join(app.select("application_id", "ca_id"), "application_id", "inner")
+    per_ca = per_app.groupBy("ca_id").agg(F.max("last").alias("last"))
+    per_ca = per_ca.join(ca.select(F.col("id").alias("ca_id")), "ca_id", "left_semi")
     prim = funding.filter(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE).select(F.col("application_no").alias("ca_id"))
-    ev = ev.join(prim, "ca_id", "left_semi")
-    return latest_per_key(ev.select("ca_id", "wf_state_name", "u_date_time"), ["ca_id"], "u_date_time", ["wf_state_name"])
+    return per_ca.join(prim, "ca_id", "left_semi").select("ca_id", F.col("last.wf_state_name").alias("wf_state_name"), F.col("last.u_date_time").alias("u_date_time"))
 
 
 __all__ = [
     "sendings_in_window", "wf_events", "wf_events_by_state", "pairing_input", "turnaround_pairs",
-    "track_details", "sending_details", "current_wf_state", "nth_per_key",
+    "track_details", "sending_details", "current_wf_state",
 ]

@@ -96,16 +96,3 @@ def test_sequence_per_key_equals_plain_row_number(spark):
     plain = df.withColumn("s", F.row_number().over(Window.partitionBy("k").orderBy("t", "b")).cast("bigint"))
     got = sequence_per_key(df, ["k"], "t", ["b"], "s", bucket_seconds=3600 * 7)
     assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*got.columns).collect()))
-
-
-def test_sequence_per_key_with_hot_bucket_split(spark):
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from ledgerline.operators.keys import sequence_per_key
-
-    rows = [(1, TS + dt.timedelta(minutes=7 * i), str(i % 3)) for i in range(200)] + [(2, TS, "a"), (2, None, "b")]
-    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, b string")
-    plain = df.withColumn("s", F.row_number().over(Window.partitionBy("k").orderBy("t", "b")).cast("bigint"))
-    got = sequence_per_key(df, ["k"], "t", ["b"], "s", bucket_seconds=86_400, hot_rows=10, fine_seconds=1800)
-    assert sorted(map(str, got.collect())) == sorted(map(str, plain.select(*got.columns).collect()))

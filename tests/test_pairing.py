@@ -15,9 +15,9 @@ def h(hours):
     return T0 + dt.timedelta(hours=hours)
 
 
-def run(spark, rows, bucket_seconds=86_400, hot_rows=None, fine_seconds=60):
+def run(spark, rows, bucket_seconds=86_400):
     df = spark.createDataFrame(rows, SCHEMA)
-    out = pair_next_event(df, bucket_seconds=bucket_seconds, hot_rows=hot_rows, fine_seconds=fine_seconds)
+    out = pair_next_event(df, bucket_seconds=bucket_seconds)
     out = out.orderBy("ca_id", "type_1_time").collect()
     return [(r.ca_id, r.type_1_time, r.type_1_by, r.type_2, r.type_2_time) for r in out]
 
@@ -99,13 +99,3 @@ def test_matches_brute_force(spark, evs, bucket):
     if not any(r[4] == "start" for r in rows):
         return
     assert run(spark, rows, bucket_seconds=bucket) == brute_force(rows)
-
-
-@settings(max_examples=15, deadline=None)
-@given(st.lists(event, min_size=1, max_size=30), st.sampled_from([3, 5]))
-def test_hot_bucket_split_matches_brute_force(spark, evs, hot):
-    rows = [(k, T0 + dt.timedelta(hours=3 * t), name if role == "start" else name + "o", by, role) for k, t, role, by, name in evs]
-    if not any(r[4] == "start" for r in rows):
-        return
-    # 2-day buckets, hot ones cut into 3-hour slices
-    assert run(spark, rows, bucket_seconds=2 * 86_400, hot_rows=hot, fine_seconds=3 * 3600) == brute_force(rows)
