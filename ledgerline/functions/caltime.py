@@ -14,6 +14,8 @@ never by the data.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,22 @@ def business_calendar(spark: SparkSession, hours: BusinessHours) -> DataFrame:
     return cal
 
 
+class CalendarRangeError(ValueError):
+    pass
+
+
+def assert_calendar_covers(df: DataFrame, columns: Sequence[str], hours: BusinessHours) -> DataFrame:
+    """Raise if a time in ``columns`` falls outside the calendar (its duration would be NULL);
+    return ``df`` unchanged otherwise. One aggregate job, two values per column."""
+    ends = [f(F.to_date(F.col(c))).alias(f"{n}_{k}") for k, c in enumerate(columns) for n, f in (("a", F.min), ("z", F.max))]
+    got = df.agg(*ends).first()
+    for k, c in enumerate(columns):
+        a, z = got[f"a_{k}"], got[f"z_{k}"]
+        if a is not None and (a < hours.first_day or z > hours.last_day):
+            raise CalendarRangeError(f"{c} runs from {a} to {z}; the calendar covers {hours.first_day} to {hours.last_day}")
+    return df
+
+
 def epoch_seconds(df: DataFrame, ts: str) -> Column:
     """Seconds since 1970-01-01 00:00:00, independent of the session time zone.
 
@@ -78,8 +96,8 @@ def with_business_seconds(
     NULL when either side is NULL or falls outside the calendar; 0 when ``end`` is
     before ``start``.
     """
-    # one row per day of the parameter range, capped by MAX_CALENDAR_DAYS: a proven size bound
-    cal = F.broadcast(calendar) if hours.n_days() <= MAX_CALENDAR_DAYS else calendar
+    # one row per day of the parameter range, which business_calendar holds to MAX_CALENDAR_DAYS
+    cal = F.broadcast(calendar)
     a = cal.select(*[F.col(c).alias(f"_a_{c}") for c in calendar.columns])
     b = cal.select(*[F.col(c).alias(f"_b_{c}") for c in calendar.columns])
     joined = df.join(a, F.to_date(F.col(start)) == F.col("_a_cal_day"), "left").join(
@@ -102,12 +120,11 @@ def format_hms(seconds: Column) -> Column:
 
 
 def int_div(num: Column, den) -> Column:
-    """Integer division truncating toward zero (SQL ``div``): ``num - num % den`` is an
-    exact multiple of ``den``, so the division below is exact for |num| < 2**53."""
+    """Integer division truncating toward zero (SQL ``div``), exact for every BIGINT."""
     n = num.cast("bigint")
     d = (den if isinstance(den, Column) else F.lit(den)).cast("bigint")
     # a zero divisor (e.g. an average over only NULL durations) gives NULL, as AVG does
-    return F.when(d != 0, ((n - n % d) / d).cast("bigint"))
+    return F.call_function("div", n, F.nullif(d, F.lit(0).cast("bigint")))
 
 
 def yyyymm(ts: Column) -> Column:

@@ -133,8 +133,10 @@ def delinquency_digest(summary: DataFrame, detail: DataFrame, as_of: dt.date) ->
         F.min("i_due_date").alias("_first_due"),
     )
     late = (F.col("d_60_day_payments") >= 1) | (F.col("d_over_60_day_payments") >= 1)
-    j = summary.select("id", late.alias("_late")).join(per_contract, "id", "inner")
-    flagged = (F.col("_n_overdue") > 0) | F.coalesce(F.col("_late"), F.lit(False))
+    # one row per contract on both sides: a repeated summary row changes nothing
+    summaries = summary.groupBy("id").agg(F.max(F.coalesce(late, F.lit(False))).alias("_late"))
+    j = summaries.join(per_contract, "id", "inner")
+    flagged = (F.col("_n_overdue") > 0) | F.col("_late")
     return j.select(
         "id",
         F.when(flagged, F.lit(1)).alias("d_flag"),

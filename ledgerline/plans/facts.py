@@ -17,7 +17,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import first_last_per_key, latest_per_key, nth_per_key
+from ledgerline.operators.keys import latest_per_key, nth_per_key
+from ledgerline.plans.digests import delinquency_digest
 from ledgerline.params import (
     APPROVAL_DECISIONS,
     AUTO_ANALYST,
@@ -43,44 +44,37 @@ def max_current_score(trans_return: DataFrame) -> DataFrame:
     return trans_return.filter(F.col("is_current") == 1).groupBy("id").agg(F.max("go170").alias("highest_fco"))
 
 
-def _delinquent_details(summary: DataFrame, detail: DataFrame) -> DataFrame:
-    return summary.join(detail.withColumnRenamed("contract_number", "id"), "id", "inner")
-
-
 def overdue_30(summary: DataFrame, detail: DataFrame, as_of: dt.date) -> DataFrame:
     """Unpaid instalments more than 30 days past due at ``as_of`` (days counted as
     midnights crossed): ``id, overdue_instalments``."""
-    unpaid = _delinquent_details(summary.select("id"), detail.filter(F.col("i_paid_off").isNull()))
-    overdue = unpaid.filter(F.datediff(F.lit(as_of), F.col("i_due_date")) > OVERDUE_DAYS)
-    return overdue.groupBy("id").agg(F.count(F.lit(1)).alias("overdue_instalments"))
+    late = F.col("i_paid_off").isNull() & (F.datediff(F.lit(as_of), F.col("i_due_date")) > OVERDUE_DAYS)
+    per_contract = detail.filter(late).groupBy(F.col("contract_number").alias("id")).agg(F.count(F.lit(1)).alias("overdue_instalments"))
+    return per_contract.join(summary.select("id"), "id", "left_semi")
 
 
 def paid_over_30(summary: DataFrame, detail: DataFrame) -> DataFrame:
     """Contracts with a 60-day or over-60-day late payment and detail rows:
     ``id, detail_rows``."""
     late = summary.filter((F.col("d_60_day_payments") >= 1) | (F.col("d_over_60_day_payments") >= 1)).select("id")
-    return _delinquent_details(late, detail.select("contract_number")).groupBy("id").agg(
-        F.count(F.lit(1)).alias("detail_rows")
-    )
+    per_contract = detail.groupBy(F.col("contract_number").alias("id")).agg(F.count(F.lit(1)).alias("detail_rows"))
+    return per_contract.join(late, "id", "left_semi")
 
 
 def delinquency_flag(summary: DataFrame, detail: DataFrame, as_of: dt.date) -> DataFrame:
     """Union of overdue and paid-late contracts: ``id``."""
-    return overdue_30(summary, detail, as_of).select("id").union(paid_over_30(summary, detail).select("id")).distinct()
+    return delinquency_digest(summary, detail, as_of).select("id")
 
 
 def first_due_flagged(summary: DataFrame, detail: DataFrame, flagged: DataFrame) -> DataFrame:
     """Earliest due date over all instalments of flagged contracts: ``id, first_i_due_date``."""
-    rows = _delinquent_details(summary.select("id"), detail.select("contract_number", "i_due_date"))
-    rows = rows.join(flagged.select("id"), "id", "left_semi")
-    return rows.groupBy("id").agg(F.min("i_due_date").alias("first_i_due_date"))
+    first = detail.groupBy(F.col("contract_number").alias("id")).agg(F.min("i_due_date").alias("first_i_due_date"))
+    return first.join(summary.select("id"), "id", "left_semi").join(flagged.select("id"), "id", "left_semi")
 
 
 def submit_counts(ca: DataFrame, status_log: DataFrame) -> DataFrame:
     """Submit log rows per contract: ``id, cou_of_submits``."""
     log = status_log.filter(F.col("s_id").isin(list(SUBMIT_STATUS_IDS))).select("id", "s_c_log_id")
-    log = log.join(ca.select("id"), "id", "left_semi")
-    return log.groupBy("id").agg(F.count("s_c_log_id").alias("cou_of_submits"))
+    return log.groupBy("id").agg(F.count("s_c_log_id").alias("cou_of_submits")).join(ca.select("id"), "id", "left_semi")
 
 
 def _decisions_by_contract(decisions: DataFrame, app: DataFrame) -> DataFrame:
@@ -102,17 +96,19 @@ def first_last_decision(decisions: DataFrame, app: DataFrame, submitted: DataFra
         "applicationid", "decisiondate", "decisiondescription",
         F.coalesce(F.col("analyst"), F.lit(UNKNOWN_LABEL)).alias("canalyst"), "subdate",
     )
-    d = _decisions_by_contract(d, app).join(submitted.select("id"), "id", "left_semi")
-    fl = first_last_per_key(d, ["id"], ["decisiondate"], ["decisiondescription", "canalyst", "subdate"])
-    return fl.select(
+    # fold per application, then per contract: raw decisions never meet on a contract
+    packed = F.struct("decisiondate", "decisiondescription", "canalyst", "subdate")
+    per_app = d.groupBy("applicationid").agg(F.min(packed).alias("first"), F.max(packed).alias("last"))
+    fl = _decisions_by_contract(per_app, app).groupBy("id").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return fl.join(submitted.select("id"), "id", "left_semi").select(
         "id",
-        F.col("first_subdate").alias("sub_date_time"),
-        F.col("first_decisiondate").alias("first_decision_date_time"),
-        F.col("first_decisiondescription").alias("first_decision_s"),
-        F.col("first_canalyst").alias("first_de_user"),
-        F.col("last_decisiondate").alias("last_decision_date_time"),
-        F.col("last_decisiondescription").alias("last_decision_s"),
-        F.col("last_canalyst").alias("last_de_user"),
+        F.col("first.subdate").alias("sub_date_time"),
+        F.col("first.decisiondate").alias("first_decision_date_time"),
+        F.col("first.decisiondescription").alias("first_decision_s"),
+        F.col("first.canalyst").alias("first_de_user"),
+        F.col("last.decisiondate").alias("last_decision_date_time"),
+        F.col("last.decisiondescription").alias("last_decision_s"),
+        F.col("last.canalyst").alias("last_de_user"),
     )
 
 
@@ -240,8 +236,8 @@ def funder_and_booker(history_t: DataFrame, app: DataFrame, ca: DataFrame) -> Da
         c = (F.col("wf_s_id") == sid) & (F.col("wf_state_name") == name)
         cond = c if cond is None else cond | c
     h = history_t.filter(cond).select("application_id", "wf_state_name", "up_by", "up_date_time")
-    h = h.join(app.select("application_id", F.col("ca_id").alias("id")), "application_id", "inner")
-    h = h.join(ca.filter(F.col("ca_st_key") == BOOKED_STATUS_KEY).select("id"), "id", "left_semi")
-    return latest_per_key(h, ["id", "wf_state_name"], "up_date_time", ["up_by"]).select(
-        "id", "wf_state_name", "up_by", "up_date_time"
-    )
+    per_app = h.groupBy("application_id", "wf_state_name").agg(F.max(F.struct("up_date_time", "up_by")).alias("last"))
+    per_app = per_app.join(app.select("application_id", F.col("ca_id").alias("id")), "application_id", "inner")
+    last = per_app.groupBy("id", "wf_state_name").agg(F.max("last").alias("last"))
+    last = last.join(ca.filter(F.col("ca_st_key") == BOOKED_STATUS_KEY).select("id"), "id", "left_semi")
+    return last.select("id", "wf_state_name", F.col("last.up_by").alias("up_by"), F.col("last.up_date_time").alias("up_date_time"))

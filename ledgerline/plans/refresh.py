@@ -9,17 +9,19 @@ the checkpoint, not a recomputation of the pairing.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.operators.keys import assert_unique
+from ledgerline.functions.caltime import assert_calendar_covers
+from ledgerline.operators.keys import BUCKET_SECONDS, assert_unique
 from ledgerline.operators.summary import grouping_sets_summary, split_grains
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import snapshot as snap
 from ledgerline.plans import workflow as wf
 from ledgerline.schemas import DETAILS_TARGET, SNAPSHOT_TARGET, SUMMARY_TARGETS
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources.sinks import publish
 
 TURNAROUND_TABLES = {
@@ -37,11 +39,10 @@ def refresh_turnaround(
     params: RunParams,
     hours: BusinessHours,
     out_base: str,
-    bucket_seconds: int = 86_400,
+    bucket_seconds: int = BUCKET_SECONDS,
     validate: bool = True,
     validate_bridge: bool = False,
     tables: dict[str, str] | None = None,
-    hot_rows: int | None = None,
 ) -> dict[str, str]:
     """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the
     published path per table. ``validate`` first asserts that the contract, date and
@@ -50,16 +51,18 @@ def refresh_turnaround(
     because it shuffles every application key (an order-sized table). ``tables``
     overrides the published table names (keys as in ``TURNAROUND_TABLES``)."""
     names = {**TURNAROUND_TABLES, **(tables or {})}
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     if validate:
         assert_unique(src["ca"], ["id"], "contracts")
         assert_unique(src["date_dim"], ["date_key"], "date dimension")
         assert_unique(src["dealer"], ["d_key"], "dealers")
+        assert_unique(src["ca_status"], ["ca_st_key"], "contract statuses")
     if validate_bridge:
         assert_unique(src["app"], ["application_id"], "application bridge")
     sendings = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
     events = wf.wf_events(src["wf_history"], src["app"], sendings, params)
-    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds, hot_rows).checkpoint()
+    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds).checkpoint()
+    assert_calendar_covers(pairs, ["type_1_time", "type_2_time"], hours)
     out = {
         "details": publish(
             wf.sending_details(pairs, src["ca"], src["ca_status"], sendings),
@@ -80,9 +83,16 @@ def refresh_snapshot(
     out_base: str,
     validate: bool = True,
     table: str = SNAPSHOT_TABLE,
+    blank_date: dt.date | None = None,
+    unread: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> str:
-    """Publish the 102-column snapshot; ``validate`` asserts key uniqueness of the
-    non-aggregated left-joined sources first."""
-    ensure_checkpoint_dir(spark)
-    df = snap.wide_contract_snapshot(sources, params.as_of, validate=validate)
+    """Publish the 102-column snapshot; ``validate`` first asserts that every key it joins
+    on is unique. ``blank_date`` stands for an absent approval or funding date (NULL).
+    ``unread`` names left-joined sources of which no column is used, with their key: leaving
+    the join out is only right while the key is unique, so that is checked as well."""
+    checkpoint_dir(spark)
+    if validate:
+        for name, (df, key) in (unread or {}).items():
+            assert_unique(df, [key], name)
+    df = snap.wide_contract_snapshot(sources, params.as_of, blank_date=blank_date, validate=validate)
     return publish(df, f"{out_base}/{table}", SNAPSHOT_TARGET)

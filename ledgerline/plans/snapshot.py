@@ -202,7 +202,7 @@ def contract_flags(s: SnapshotSources, as_of: dt.date, blank_date: dt.date | Non
 # Wide snapshot
 # ---------------------------------------------------------------------------
 
-# output column -> source column, in target order (102 columns). Sources are
+# fixed values: output column -> source column, in target order (102 columns). Sources are
 # prefixed by the join that supplies them: ca_ contract, ino_ primary funding
 # row, x_ derived in this module.
 SNAPSHOT_COLUMNS: tuple[tuple[str, str], ...] = (
@@ -261,6 +261,13 @@ def wide_contract_snapshot(
     are left to the planner (broadcast when its size estimate is under
     ``spark.sql.autoBroadcastJoinThreshold``, or when AQE measures it small).
     """
+    if validate:
+        for df, key, name in (
+            (s.ca, "id", "contracts"), (s.ca_status, "ca_st_key", "contract statuses"), (s.date_dim, "date_key", "date dimension"),
+            (s.dealer, "d_key", "dealers"), (s.ams, "ams_key", "managers"), (s.mk_program, "mk_program_detail_id", "programs"),
+            (s.app, "application_id", "application bridge"),
+        ):
+            assert_unique(df, [key], name)
     keys = ["ca_st_key", "last_decisioned_ca_st_key", "sub_date_key", "last_decisioned_date_key",
             "funing_date_key", "d_key", "mk_program_detail_id", "funing_port_key"]
     fact = s.ca.filter(F.col("sub_date_key") > 0).select(
@@ -272,12 +279,13 @@ def wide_contract_snapshot(
     for role, key in (("ds", "sub_date_key"), ("da", "last_decisioned_date_key"), ("df", "funing_date_key")):
         j = j.join(_date_role(s.date_dim, role), F.col(key) == F.col(f"{role}_date_key"), "inner")
     dealer = s.dealer.select("d_key", F.coalesce(F.col("ams_key"), F.lit(0)).alias("_ams_key"), F.col("pro").alias("dl_pro"))
-    j = j.join(dealer, "d_key", "inner")
-    j = j.join(s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name")), "_ams_key", "left")
     per_mgr = facts.dealers_per_manager(s.dealer, s.ams, s.ca).select(
         F.col("ams_key").alias("_ams_key"), F.col("total_d_under_ams").alias("u_total_d_under_ams")
     )
-    j = j.join(per_mgr, "_ams_key", "left")
+    # dealer, manager and dealer count become one table, so the fact meets one join for all three
+    dealer = dealer.join(s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name")), "_ams_key", "left")
+    dealer = dealer.join(per_mgr, "_ams_key", "left")
+    j = j.join(dealer, "d_key", "inner")
     j = j.join(s.mk_program.select("mk_program_detail_id", "mk_program_name"), "mk_program_detail_id", "left")
 
     # per-contract digests, all keyed by id
