@@ -13,6 +13,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from ledgerline.operators.keys import BUCKET_SECONDS
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import refresh
 from ledgerline.plans.snapshot import SnapshotSources
@@ -41,8 +42,8 @@ def main(argv=None) -> None:
     ap.add_argument("--calendar-to", default="2040-12-31")
     ap.add_argument("--holidays", default="", help="comma-separated YYYY-MM-DD dates")
     ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
-    ap.add_argument("--bucket-seconds", type=int, default=86_400, help="time bucket of the pairing shuffle")
-    ap.add_argument("--hot-rows", type=int, default=None, help="split buckets holding more rows than this")
+    ap.add_argument("--bucket-seconds", type=int, default=BUCKET_SECONDS, help="time bucket of the pairing shuffle")
+    ap.add_argument("--blank-date", default=None, help="date of an absent approval or funding (YYYY-MM-DD); default NULL")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.job}").getOrCreate()
@@ -63,11 +64,13 @@ def main(argv=None) -> None:
         names = ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")
         out = refresh.refresh_turnaround(
             spark, {n: src[n] for n in names}, params, hours, args.out,
-            bucket_seconds=args.bucket_seconds, hot_rows=args.hot_rows,
+            bucket_seconds=args.bucket_seconds,
         )
     else:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})
-        out = {"snapshot": refresh.refresh_snapshot(spark, s, params, args.out)}
+        out = {"snapshot": refresh.refresh_snapshot(
+            spark, s, params, args.out, blank_date=dt.date.fromisoformat(args.blank_date) if args.blank_date else None
+        )}
     print(json.dumps(out))
 
 

@@ -260,14 +260,14 @@ def wide_contract_snapshot(c: Ctx) -> DataFrame:
 
 
 def snapshot_roundtrip(c: Ctx) -> DataFrame:
-    """Publish the snapshot by atomic overwrite into the shared folder, read it back."""
+    """Publish the snapshot by atomic overwrite into the warehouse, read it back."""
     import hashlib
 
     from ledgerline.plans.refresh import SNAPSHOT_TABLE, refresh_snapshot
-    from ledgerline.sources.sinks import read_published, shared_dir
+    from ledgerline.sources.sinks import read_published, warehouse_dir
 
     tag = hashlib.sha1(c.src.sf_dir.encode()).hexdigest()[:10]
-    base = shared_dir(c.spark, "ledgerline", "published", tag)
+    base = warehouse_dir(c.spark, "ledgerline_published", tag)
     refresh_snapshot(c.spark, c.snapshot_sources(), c.params, base, validate=True)
     return read_published(c.spark, f"{base}/{SNAPSHOT_TABLE}")
 

@@ -13,16 +13,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.ingest import ingested
+
 
 class TableSources:
     """``TableSources(spark, {"wf_history": "prod.ops.wf_history", "ca": "parquet:/data/ca"})``.
 
     A value ``"<format>:<path>"`` reads files (``parquet``, ``orc``, ``delta``, ...);
-    anything else is a catalog table name.
+    anything else is a catalog table name. Codes and column names are normalised
+    (``sources.ingest``); tables that already hold plain names and exact codes can be read
+    with ``normalise=False``, and then filters on code columns reach the scan as well.
     """
 
-    def __init__(self, spark: SparkSession, mapping: Mapping[str, str]):
+    def __init__(self, spark: SparkSession, mapping: Mapping[str, str], normalise: bool = True):
         self.spark = spark
+        self.normalise = normalise
         self.mapping = dict(mapping)
         self._cache: dict[str, DataFrame] = {}
 
@@ -31,9 +36,10 @@ class TableSources:
             ref = self.mapping[name]
             fmt, sep, path = ref.partition(":")
             if sep and "/" in path and "." not in fmt:
-                self._cache[name] = self.spark.read.format(fmt).load(path)
+                df = self.spark.read.format(fmt).load(path)
             else:
-                self._cache[name] = self.spark.table(ref)
+                df = self.spark.table(ref)
+            self._cache[name] = ingested(df, name) if self.normalise else df
         return self._cache[name]
 
     __getitem__ = df

@@ -1,6 +1 @@
-"""No streaming operators.
-
-Both workloads are full-refresh batch jobs: no watermark, event-time window,
-state or late-data handling occurs, so nothing here is needed. Incremental
-inputs are handled by re-running the refresh over the new window.
-"""
+"""No streaming operators: both workloads are full-refresh batch jobs."""
