@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -67,8 +69,12 @@ def sha256_hex(text: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that the session names in ``spark.checkpoint.dir``."""
+    """A new folder below the shared one that the session names in ``spark.checkpoint.dir``. Only a
+    local session, whose one machine is all there is, gets a folder of its own if it names none."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        base = tempfile.mkdtemp(prefix="ledgerline-llm-")
+        spark.conf.set("spark.checkpoint.dir", base)
     if not base:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
     return f"{base.rstrip('/')}/ledgerline-llm/{uuid.uuid4().hex}"
