@@ -159,7 +159,10 @@ def test_shared_passages_are_found_and_nothing_else(spark, hard, empty):
             up[top(k)] = top(x)
     assert len({top(k) for k, kind in holds.items() if kind == 0}) == 1
     assert len({top(k) for k, kind in holds.items() if kind == 1}) == 1
-    assert {got[k]["class_id"] for k in (2, 100, 101)} == {2} and got[2]["n_copies"] == 3
+    assert {got[k]["class_id"] for k in (2, 100, 101)} == {2} and got[100]["linked_to"] == [2] and got[2]["n_links"] == 0
+    assert {got[k]["component_id"] for k, kind in holds.items() if kind == 0} == {0}
+    assert {got[k]["component_id"] for k, kind in holds.items() if kind == 1} == {1}
+    assert all(got[k]["component_id"] == k for k, kind in holds.items() if kind is None) and got[101]["component_id"] == 2
     assert passages.shared_passages(hard).count() == hard.count()
     assert passages.shared_passages(empty).count() == 0
 
