@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.income import annualised
 from ledgerline.operators.keys import latest_per_key, nth_per_key
 from ledgerline.plans.digests import delinquency_digest
 from ledgerline.params import (
@@ -28,8 +29,6 @@ from ledgerline.params import (
     FINAL_DECISIONS,
     FUNDER_STATE,
     FUNDING_STATUS_ID,
-    INCOME_DEFAULT_MULTIPLIER,
-    INCOME_MULTIPLIER,
     OVERDUE_DAYS,
     PACKAGE_RECEIVED_STATUS_ID,
     PRIMARY_APPLICANT_TYPE,
@@ -201,16 +200,6 @@ def prior_bankruptcy(bureau: DataFrame) -> DataFrame:
     return bureau.filter(F.col("prebankre") != 0).select("id").distinct()
 
 
-def annualised(freq: str, amount: str) -> F.Column:
-    """Income per year by frequency code (W x52, M x12, A x1, anything else x12)."""
-    expr = None
-    for code, mult in INCOME_MULTIPLIER.items():
-        cond = F.col(freq) == code
-        value = F.col(amount) * mult
-        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
-    return expr.otherwise(F.col(amount) * INCOME_DEFAULT_MULTIPLIER).cast("decimal(18,2)")
-
-
 def annual_income_by_relation(app: DataFrame, ino_c: DataFrame) -> DataFrame:
     """Per contract and relation (1 primary, 2 co-applicant, 3 co-signer) the row
     with the lowest income (NULL first; ties by lower total, then frequency).
@@ -223,7 +212,7 @@ def annual_income_by_relation(app: DataFrame, ino_c: DataFrame) -> DataFrame:
     rows = rows.join(app.select("application_id", F.col("ca_id").alias("id")), "application_id", "inner")
     low = nth_per_key(rows, ["id", "relationtype"], ["ginome", "antotal", "ginomefre"], 1)
     return low.select(
-        "id", "relationtype", "ginomefre", "ginome", annualised("ginomefre", "ginome").alias("sub_a_inome"), "antotal"
+        "id", "relationtype", "ginomefre", "ginome", annualised(F.col("ginomefre"), F.col("ginome")).alias("sub_a_inome"), "antotal"
     )
 
 

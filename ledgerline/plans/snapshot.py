@@ -37,6 +37,7 @@ from ledgerline.params import (
     PRIMARY_APPLICANT_TYPE,
     RELATION_TYPES,
 )
+from ledgerline.functions.income import annualised
 from ledgerline.plans import digests, facts
 
 # ---------------------------------------------------------------------------
@@ -334,7 +335,7 @@ def wide_contract_snapshot(
     for prefix in RELATION_TYPES.values():
         low = F.col(f"cr_low_{prefix}")
         derived.append(
-            F.when(F.col("ino_tds_v").isNull(), digests.annualised_struct(low))
+            F.when(F.col("ino_tds_v").isNull(), annualised(low["ginomefre"], low["ginome"]))
             .otherwise(low["antotal"]).alias(f"x_{prefix}_an_income")
         )
     j = j.select("*", *derived)
