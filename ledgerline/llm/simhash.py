@@ -198,21 +198,26 @@ def forest(fps: DataFrame, max_bits: int = MAX_BITS, unit: int = UNIT) -> DataFr
     return dealt.mapInArrow(run, "u bigint, v bigint")
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every u has one edge and no v is a u: then each component is a star around its least node."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    odd = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1")
+    return odd.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): star contractions until every edge leads to the least node of its component."""
-    flip = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v")
-    now, seen = stored(flip.distinct()), None
-    while True:
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if mark == seen:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
+    now = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
+    while not _all_stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(least.select("u", F.col("m").alias("v")))
         now = stored(small.distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def near_duplicates(
