@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import _q, ddl
+from ledgerline.llm.rows import _q, ddl, few
 
 WIDTH = 128
 LONG = 160
+RANGES = 4  # id ranges a partition: several small ones even out what a partition gets
 _SENTENCE = re.compile(r"(?<=[.!?]) ")
 
 
@@ -104,11 +105,12 @@ def linked(df: DataFrame, out: Sequence[tuple[str, str]], pair, id_col: str = "d
 
     spark = df.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = RANGES * parts
     rows = df.select(F.col(_q(id_col)).cast("bigint").alias("id"), F.coalesce(F.col(_q(text)).cast("string"), F.lit("")).alias("text"))
     ids = rows.select("id", F.coalesce(-F.col("id").cast("double"), F.lit(float("nan"))).alias("at"))
-    cuts = sorted(set(ids.where("id is not null").approxQuantile("at", [k / parts for k in range(1, parts)], 0.2 / parts)))
+    cuts = sorted(set(ids.where("id is not null").approxQuantile("at", [k / ranges for k in range(1, ranges)], 0.5 / ranges)))
     bucketizer = Bucketizer(splits=[-float("inf"), *cuts, float("inf")] if cuts else [-float("inf"), 0.0, float("inf")], inputCol="at", outputCol="bucket", handleInvalid="keep")
-    # one row for each bucket, as many as there are partitions: which id comes first in it
+    # one row for each bucket, RANGES times as many as partitions: which id comes first in it
     heads = bucketizer.transform(ids).groupBy("bucket").agg(F.max("id").alias("id")).collect()
     heads.sort(key=lambda r: r["bucket"])
     before = [(heads[k]["id"], heads[k - 1]["bucket"]) for k in range(len(heads))]
@@ -136,7 +138,7 @@ def linked(df: DataFrame, out: Sequence[tuple[str, str]], pair, id_col: str = "d
 
         target = to_arrow_schema(schema)
         waiting = state = bucket = None
-        for batch in batches:
+        for batch in few(batches):
             made: list[tuple] = []
             for b, extra, i, t in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if b != bucket:

@@ -25,8 +25,8 @@ from ledgerline.llm.rows import map_texts, sha256_hex
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
-KEPT_CHUNKS = 800_000
-KEPT_PAIRS = 1_000_000
+KEPT_CHUNKS = 200_000
+KEPT_PAIRS = 300_000
 _LOADED: dict[str, PieceTable] = {}
 
 OUTPUTS = {

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+AT_ONCE = 1_000
+
 
 def ddl(fields: Sequence[tuple[str, str]]) -> StructType:
     return _parse_datatype_string(", ".join(f"`{n}` {t}" for n, t in fields))
@@ -42,7 +44,7 @@ def map_texts(
 
         target = to_arrow_schema(schema)
         fn = make()
-        for batch in batches:
+        for batch in few(batches):
             got = fn(batch.column(len(keep)).to_pylist())
             columns = [batch.column(i).cast(target.field(i).type) for i in range(len(keep))]
             columns += [_array(got[n], target.field(n).type) for n in names]
@@ -51,6 +53,13 @@ def map_texts(
     return rows.mapInArrow(run, schema)
 
 
+def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, ``AT_ONCE`` at a time: a worker holds few texts as Python strings."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(start, AT_ONCE)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     return values if isinstance(values, pa.Array) else pa.array(values, type=kind)
 
