@@ -193,3 +193,34 @@ def test_alignment_of_inner_and_outer_edits():
     b = np.concatenate([np.arange(500, 520), a[:40], [900], a[41:70], [901, 902], a[70:], np.arange(600, 640)])
     s, e, s2, e2, same = passages.align(a, b, [10, 50, 80], [30, 70, 102])
     assert (s, e, s2, e2, same) == (0, 100, 20, 122, 99)
+
+
+def test_chain_is_cut_at_gaps_that_pull_it_down(spark):
+    """Two exact passages with other words between, and one passage with a stray shared run."""
+    rng = random.Random(21)
+    first, second, stray = _text(rng, 50), _text(rng, 50), _text(rng, 5)
+    own = lambda k, n: [f"own{k}x{j}" for j in range(n)]
+    texts = []
+    for k, gap in enumerate([40, 90]):
+        texts.append(own(f"a{k}", 30) + first + own(f"b{k}", gap) + second + own(f"c{k}", 30))
+    third = _text(rng, 50)
+    for k in (2, 3):
+        texts.append(own(f"a{k}", 30) + third + own(f"b{k}", 30) + stray + own(f"c{k}", 30))
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id bigint, text string")).collect()}
+    assert [(got[k]["n_passages"], got[k]["passage_words"]) for k in range(4)] == [(2, 100), (2, 100), (1, 50), (1, 50)]
+    assert [got[k]["component_id"] for k in range(4)] == [0, 0, 2, 2]
+
+
+def test_pieces_of_an_alignment():
+    import numpy as np
+
+    a = np.concatenate([np.arange(50), np.arange(100, 140), np.arange(200, 250), np.arange(300, 330), np.arange(400, 405)])
+    b = np.concatenate([np.arange(50), np.arange(500, 600), np.arange(200, 250), np.arange(700, 760), np.arange(400, 405)])
+    own = passages.matched(a, b, [10, 30, 100, 120, 170], [10, 30, 160, 180, 260])
+    assert sorted(passages.pieces(own)) == [(0, 50, 0, 50, 50), (90, 140, 150, 200, 50)]
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        x, y = rng.integers(0, 4, rng.integers(0, 30)), rng.integers(0, 4, rng.integers(0, 30))
+        pairs = passages._common(x, y)
+        assert all(x[i] == y[j] for i, j in pairs) and len(pairs) == int(passages._lengths(x, y)[-1])
+        assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:], strict=False))
