@@ -224,3 +224,24 @@ def test_pieces_of_an_alignment():
         pairs = passages._common(x, y)
         assert all(x[i] == y[j] for i, j in pairs) and len(pairs) == int(passages._lengths(x, y)[-1])
         assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:], strict=False))
+
+
+def _own(k, n):
+    return [f"own{k}x{j}" for j in range(n)]
+
+
+def test_every_copy_of_a_passage_is_found(spark):
+    """A second copy beside another text, whichever represents it, and copies in one text only."""
+    rng = random.Random(22)
+    rows = []
+    for k in range(0, 24, 4):
+        twice, alone = _text(rng, 50), _text(rng, 60)
+        rows.append((k, _own(f"a{k}", 30) + twice + _own(f"b{k}", 60) + twice + _own(f"c{k}", 30)))
+        rows.append((k + 1, _own(f"d{k}", 30) + twice + _own(f"e{k}", 30)))
+        rows.append((k + 2, _own(f"f{k}", 30) + alone + alone + _own(f"g{k}", 40) + alone))
+        rows.append((k + 3, _own(f"h{k}", 200)))
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in passages.shared_passages(docs).collect()}
+    for k in range(0, 24, 4):
+        assert [got[k + j]["passage_words"] for j in range(4)] == [100, 50, 180, 0]
+        assert got[k]["component_id"] == got[k + 1]["component_id"] == k and got[k + 2]["linked_to"] == []
