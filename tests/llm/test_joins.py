@@ -245,3 +245,18 @@ def test_every_copy_of_a_passage_is_found(spark):
     for k in range(0, 24, 4):
         assert [got[k + j]["passage_words"] for j in range(4)] == [100, 50, 180, 0]
         assert got[k]["component_id"] == got[k + 1]["component_id"] == k and got[k + 2]["linked_to"] == []
+
+
+def test_links_are_counted_in_both_directions(spark):
+    """Texts with one passage each link to all others that hold it, whichever represents it."""
+    rng = random.Random(23)
+    one, two = _text(rng, 60), _text(rng, 55)
+    rows = [(k, _own(f"a{k}", 30) + one + _own(f"b{k}", 30)) for k in range(12)]
+    rows += [(k, _own(f"a{k}", 30) + two + _own(f"b{k}", 30)) for k in (20, 21)]
+    rows += [(30, _own("a30", 30) + one + _own("b30", 100) + two + _own("c30", 30)), (31, rows[0][1]), (40, _own("a40", 99))]
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")).collect()}
+    assert {got[k]["n_links"] for k in range(12)} == {12} and {got[k]["n_links"] for k in (20, 21)} == {2}
+    assert (got[30]["n_links"], got[31]["n_links"], got[40]["n_links"]) == (14, 13, 0)
+    for k in got:
+        assert all(k in got[x]["linked_to"] or got[k]["class_id"] != k for x in got[k]["linked_to"])
+    assert max(len(got[k]["linked_to"]) for k in [*range(12), 30]) >= 12
