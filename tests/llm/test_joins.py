@@ -260,3 +260,17 @@ def test_links_are_counted_in_both_directions(spark):
     for k in got:
         assert all(k in got[x]["linked_to"] or got[k]["class_id"] != k for x in got[k]["linked_to"])
     assert max(len(got[k]["linked_to"]) for k in [*range(12), 30]) >= 12
+
+
+def test_passages_with_many_edits_are_found(spark):
+    """60 words with every tenth, eighth, seventh or sixth replaced."""
+    rng = random.Random(24)
+    rows, each = [], 12
+    for every in (10, 8, 7, 6):
+        for k in range(each):
+            words, k = _text(rng, 60), 1000 * every + 2 * k
+            edited = [f"edit{k}x{j}" if j % every == every // 2 else w for j, w in enumerate(words)]
+            rows += [(k, _own(f"a{k}", 30) + words + _own(f"b{k}", 30)), (k + 1, _own(f"c{k}", 40) + edited + _own(f"d{k}", 20))]
+    got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")).collect()}
+    assert [k for k, _ in rows if not 50 <= got[k]["passage_words"] <= 62] == []
+    assert all(got[k]["component_id"] == k - k % 2 for k, _ in rows)
