@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, languages, multiset_hash, passages, piece_tokens, pii, quality, secret_tags, simhash, url_templates
+from ledgerline.llm import collocations, decontaminate, hard_negatives, languages, multiset_hash, packing, passages, piece_tokens, pii, quality, secret_tags, simhash, url_templates
 from ledgerline.llm.rows import held_out, map_texts, sha256_hex, stored
 
 
@@ -131,6 +131,26 @@ def op10_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.encode_decode(_table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first phrases by score (SETM relations)."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor's positives (STR-packed R-tree)."""
+    label, key = F.col("label").cast("bigint"), F.col("vec_id")
+    label = F.when(key % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2,048 ids (concatenate and cut)."""
+    import public_tokenizers
+
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_passages": op2_passages,
@@ -142,6 +162,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_piece_tokens": op10_piece_tokens,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_packing": op13_packing,
 }
 
-ORACLES: dict[str, str] = {"op6_url_filter": url_templates.ORACLE, "op8_decontamination": decontaminate.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_url_filter": url_templates.ORACLE,
+    "op8_decontamination": decontaminate.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+}

@@ -89,9 +89,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/ledgerline-llm/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost
     executors, and gives later plans true sizes."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove what ``stored`` wrote for ``df``, once all that was made from it is stored itself."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
