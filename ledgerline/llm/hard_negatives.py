@@ -14,7 +14,8 @@ The anchors are a stated query set. They meet the slabs in blocks: one task gets
 (``BLOCK`` anchors) and returns the best k of its slab; the best of all slabs are taken by a window limit, which cuts
 before it shuffles. The first search finds each anchor's positives, the second the negatives in the score window of each
 positive. Nothing but the spread of each coordinate reaches the driver, and nothing is broadcast. All is exact: scores are
-whole numbers, computed in doubles while they fit 53 bits and else in integers of any size (at most 64 bits come out).
+whole numbers, computed in doubles while they fit 53 bits and else in integers of any size; beyond 64 bits they count as
+the greatest or least number of 64 bits.
 
 Nulls: rows with a null label, a null vector, or a null or not finite component (times ``SCALE``) take no part. A row with a
 null id is never an anchor and comes last among equal scores. Repeated rows are rows of their own: an anchor leaves
@@ -41,7 +42,7 @@ TILED = 6
 
 _LEAVES = "slab int, leaf int, n int, low binary, high binary, label_low bigint, label_high bigint, rows binary, ids binary, labels binary, vectors binary"
 _FOUND = "anchor bigint, slot int, row bigint, id bigint, score bigint"
-_NO_ID = np.iinfo(np.int64).max
+_NO_ID = _MOST = 2**63 - 1
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -125,6 +126,7 @@ class Tree:
     def __init__(self, leaves: pa.Table, d: int, whole: bool):
         leaves = leaves.sort_by("leaf")
         exact = (lambda v: v) if whole else _integers
+        self.fit = (lambda v: v) if whole else (lambda v: np.clip(v, -_MOST, _MOST))
 
         def matrix(name: str) -> np.ndarray:
             return exact(np.frombuffer(b"".join(leaves[name].to_pylist()), np.float64).reshape(leaves.num_rows, d))
@@ -149,7 +151,7 @@ class Tree:
 
         def push(level: int, nodes: slice) -> None:
             low, high, first, last = (v[nodes] for v in self.levels[level])
-            most, least = high @ up + low @ down, low @ up + high @ down
+            most, least = self.fit(high @ up + low @ down), self.fit(low @ up + high @ down)
             fits = (first <= label) & (label <= last) if same else ~((first == label) & (last == label))
             fits &= ((most >= min(floors)) & (least <= top)).astype(bool)
             for node in np.flatnonzero(fits):
@@ -164,7 +166,7 @@ class Tree:
                 push(level - 1, slice(node * FANOUT, min((node + 1) * FANOUT, len(self.levels[level - 1][0]))))
                 continue
             rows, ids, labels, x = self.leaves[node]
-            scores = x @ a
+            scores = self.fit(x @ a)
             fits = ((labels == label) & (rows != row)) if same else labels != label
             fits &= ((scores >= min(floors)) & (scores <= top)).astype(bool)
             at = np.flatnonzero(fits)
@@ -194,11 +196,11 @@ def _search(d: int, k: int, same: bool):
         a = np.floor(anchors["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False)).reshape(anchors.num_rows, d)
         boxes = np.frombuffer(b"".join(leaves["low"].to_pylist() + leaves["high"].to_pylist()), np.float64)
         whole = d * float(np.abs(a).max(initial=1)) * float(np.abs(boxes).max(initial=1)) < 2**53
-        tree, limit, out = Tree(leaves, d, whole), 2**63 - 1, []
+        tree, out = Tree(leaves, d, whole), []
         for vector, r in zip(a if whole else _integers(a), anchors.select(["row", "label", "slots", "lows", "highs"]).to_pylist(), strict=True):
             windows = list(zip(r["lows"], r["highs"], strict=True))
             for slot, got in zip(r["slots"], tree.search(r["row"], r["label"], vector, windows, k, same), strict=True):
-                out += [(r["row"], slot, row, None if i == _NO_ID else i, max(-limit, min(limit, s))) for s, i, row in got]
+                out += [(r["row"], slot, row, None if i == _NO_ID else i, s) for s, i, row in got]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True) if out else [[]] * 5, schema, strict=True)], schema=schema)
 
     return run
@@ -238,8 +240,7 @@ def hard_negatives(
         found = spread.groupBy("slab", "block").cogroup(anchors.groupBy("to_slab", "to_block")).applyInArrow(_search(d, k, same), _FOUND)
         return stored(_best(found, k))
 
-    whole = 2**63 - 1
-    one = asked.withColumns({"slots": F.array(F.lit(0)), "lows": F.array(F.lit(-whole)), "highs": F.array(F.lit(whole))})
+    one = asked.withColumns({"slots": F.array(F.lit(0)), "lows": F.array(F.lit(-_MOST)), "highs": F.array(F.lit(_MOST))})
     first = searched(one, positives, True)
     exact = lambda percent: F.col("score").cast("decimal(19,0)") * percent
     windows = first.withColumns({"low": F.ceil(exact(low) / 100).cast("bigint"), "high": F.floor(exact(high) / 100).cast("bigint")}).where("low <= high")
