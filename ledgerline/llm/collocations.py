@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.rows import _q, discard, few, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
-PART = 4_000_000
+PART = 1_500_000
 SLICE = 1 << 22
 
 #: Bytes of a text: A-Z in lower case, tab as space, piece ends as line feed. All are ASCII, so no UTF-8 sequence is touched.
@@ -135,12 +135,17 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     own, part = relation["n"][0].as_py(), relation["part"][0].as_py()
     idx, gid = frequent["idx"].to_numpy(), frequent["gid"].to_numpy()
     base = len(idx) + 1
-    rank = np.zeros(max(places.max(initial=0), idx.max(initial=0)) + 1, np.int64)
+    rank = np.zeros(max(places.max(initial=0), idx.max(initial=0)) + 1, np.int32)
     rank[idx] = np.arange(1, base)
     here = rank[places]
-    both = np.flatnonzero((here[:-1] > 0) & (here[1:] > 0))
-    keys, at = np.unique(here[both] * base + here[both + 1], return_inverse=True)
-    n = np.bincount(at[both < own], minlength=len(keys))
+    both = np.flatnonzero((here[:-1] > 0) & (here[1:] > 0)).astype(np.int32)
+    pairs = here[both].astype(np.int64)
+    pairs *= base
+    pairs += here[both + 1]
+    del here, rank
+    keys, at = np.unique(pairs, return_inverse=True)
+    del pairs
+    n = np.bincount(at[: np.searchsorted(both, own)], minlength=len(keys))
     longer = np.zeros(len(places), np.int32)
     longer[both] = at + 1
     found = [_batch(_EXTENDED, 1, part=part, idx=0, n=[own], places=[longer.tobytes()])] if len(keys) else []
