@@ -12,8 +12,8 @@ groups, and only occurrences of frequent groups are extended again:
    merge-joined with itself one place further: both are in text order, so no sort is needed.
 
 Steps 2 and 3 repeat up to ``longest`` words. Every relation and every table of groups is written to the shared
-folder, so a lost executor costs one step. No table of groups is broadcast by this module, and nothing is
-collected to the driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
+folder, so a lost executor costs one step. Frequent groups are broadcast to the lists while they are at most ``SMALL``
+(counted); beyond that both sides are shuffled. Nothing is collected to the driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
 the next part, which counts its own places only and sees the ``longest - 1`` words that follow.
 
 Nulls: a null text is empty, a null group is ``und``. Repeated rows count as often as they occur. Empty texts and
@@ -37,6 +37,7 @@ from ledgerline.llm.rows import _q, discard, few, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
+SMALL = 500_000
 SLICE = 1 << 22
 
 #: Bytes of a text: A-Z in lower case, tab as space, piece ends as line feed. All are ASCII, so no UTF-8 sequence is touched.
@@ -153,7 +154,7 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     return pa.Table.from_batches(found, _schema(_EXTENDED))
 
 
-def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, part: int = PART) -> tuple[list[DataFrame], DataFrame]:
+def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, part: int = PART, small: int = SMALL) -> tuple[list[DataFrame], DataFrame]:
     """Tables of frequent phrases, by number of words, and the number of all words of each group (lang, n).
 
     A table has gid, lang, phrase, word (the last one), a (occurrences), first (occurrences of the first 1, 2, ... words)
@@ -178,7 +179,9 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
         tables.append(groups)
         before = now
         if k < longest:
-            kept = now.where("idx > 0").select("part", "idx", *key).join(groups.select("gid", *key), key).select(F.col("part").alias("into"), "idx", "gid")
+            frequent = groups.select("gid", *key)
+            frequent = F.broadcast(frequent) if groups.count() <= small else frequent
+            kept = now.where("idx > 0").select("part", "idx", *key).join(frequent, key).select(F.col("part").alias("into"), "idx", "gid")
             relation = now.where("places is not null").select("part", "n", "places")
             now = stored(relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part, _EXTENDED))
         key = ["ga", "gb"]
@@ -193,7 +196,7 @@ def _extend_part(relation: pa.Table, frequent: pa.Table) -> pa.Table:
 
 
 def collocations(
-    docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, part: int = PART
+    docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, part: int = PART, small: int = SMALL
 ) -> DataFrame:
     """The ``top`` phrases of each group by score: lang, rank, phrase, a, l, r, n, score.
 
@@ -201,7 +204,7 @@ def collocations(
     the cut with the least floor(1000 * a * n / (l * r)), the first of equal ones. A phrase inside a longer one that has
     at least ``covered`` percent of its occurrences goes. Products are decimals of 38 digits and the quotient is whole.
     """
-    tables, totals = frequent_phrases(docs, text=text, group=group, least=least, longest=longest, part=part)
+    tables, totals = frequent_phrases(docs, text=text, group=group, least=least, longest=longest, part=part, small=small)
     out = []
     for k, table in enumerate(tables[1:], 2):
         if k < longest:
