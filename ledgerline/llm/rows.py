@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 import tempfile
@@ -99,6 +100,13 @@ def stored(df: DataFrame, **options: str) -> DataFrame:
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files and broadcasts that no plan of the driver refers to any more; it
+    learns of them when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Remove what ``stored`` wrote for ``df``, once all that was made from it is stored itself."""
     spark = df.sparkSession
