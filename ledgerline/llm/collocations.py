@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import _q, discard, few, release, stored
+from ledgerline.llm.rows import _q, discard, few, release, rows_at_once, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
@@ -199,6 +199,7 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
     A table has gid, lang, phrase, word (the last one), a (occurrences), first (occurrences of the first 1, 2, ... words)
     and last (of the last 1, 2, ... words).
     """
+    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(_q(group)).cast("string"), F.lit("und")), F.coalesce(F.col(_q(text)).cast("string"), F.lit("")))
     now = stored(rows.mapInArrow(_read(longest - 1, part), _READ), compression="zstd")
     lists, key = now.where("word is not null"), ["lang", "word"]
@@ -214,24 +215,26 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
             b = tables[-1].select(F.col("gid").alias("gb"), "word", F.concat("last", F.array("a")).alias("last"))
             found = counts.join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
         # written before its ids are used: ids of a second run could differ
-        groups = stored(found.select(F.monotonically_increasing_id().alias("gid"), "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
+        with rows_at_once(spark, 1):  # a part is one row
+            groups = stored(found.select(F.monotonically_increasing_id().alias("gid"), "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
         tables.append(groups)
         if k == longest:
             break
         frequent, few_groups = groups.select("gid", *key), groups.count() <= small
         if few_groups and k > 1:
             sorted_groups = frequent.toPandas().sort_values(["ga", "gb"])
-            shared = docs.sparkSession.sparkContext.broadcast([sorted_groups[c].to_numpy(np.int64) for c in ("gid", "ga", "gb")])
+            shared = spark.sparkContext.broadcast([sorted_groups[c].to_numpy(np.int64) for c in ("gid", "ga", "gb")])
             longer = now.mapInArrow(_extend_here(shared), _EXTENDED) if len(sorted_groups) else now.limit(0)
         else:
             kept = lists.select("part", "idx", *key).join(F.broadcast(frequent) if few_groups else frequent, key).select(F.col("part").alias("into"), "idx", "gid")
             relation = now.where("places is not null").select("part", "n", "places")
             longer = relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part, _EXTENDED)
-        longer = stored(longer, compression="zstd")
+        with rows_at_once(spark, 1):
+            longer = stored(longer, compression="zstd")
         discard(now)
         now, key = longer, ["ga", "gb"]
         lists = now.mapInArrow(_listed, _LIST)
-        release(docs.sparkSession)
+        release(spark)
     discard(now)
     return tables, totals
 
