@@ -8,13 +8,12 @@ groups, and only occurrences of frequent groups are extended again:
    their part; the part's list of distinct words with counts is written beside it.
 2. The lists are summed over all parts (a shuffle of distinct words a part, not of occurrences), groups below
    ``least`` go, the rest get ids.
-3. The frequent entries of each part's own list meet that part (semi-join), where the relation is merge-joined with
-   itself one place further: both are in text order, so no sort is needed.
+3. The frequent entries of each part's own list go back to that part (semi-join), where the relation is
+   merge-joined with itself one place further: both are in text order, so no sort is needed.
 
 Steps 2 and 3 repeat up to ``longest`` words. Every relation and every table of groups is written to the shared
-folder, so a lost executor costs one step; the shuffle files of a step are given up when the next is written. Frequent
-groups are broadcast (three numbers each) while they are at most ``SMALL``, counted; beyond that each part's lists are
-joined with them and shuffled back to the part. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
+folder, so a lost executor costs one step; the shuffle files of a step are given up after it. Frequent groups are broadcast to the lists while they are at most ``SMALL``
+(counted); beyond that both sides are shuffled. Nothing is collected to the driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
 the next part, which counts its own places only and sees the ``longest - 1`` words that follow.
 
 Nulls: a null text is empty, a null group is ``und``. Repeated rows count as often as they occur. Empty texts and
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import _q, discard, few, release, rows_at_once, stored
+from ledgerline.llm.rows import _q, discard, few, release, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
@@ -47,8 +46,7 @@ _BYTES = bytes(32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if
 _END = b"\xff"
 
 _READ = "part bigint, idx int, lang string, word string, n bigint, places binary"
-_EXTENDED = "part bigint, n bigint, places binary, ga binary, gb binary, counts binary"
-_LIST = "part bigint, idx int, ga bigint, gb bigint, n bigint"
+_EXTENDED = "part bigint, idx int, ga bigint, gb bigint, n bigint, places binary"
 
 
 def _words(text: str, ahead: int) -> Iterator[list[bytes]]:
@@ -132,8 +130,11 @@ def _read(ahead: int, size: int):
     return run
 
 
-def _extend(part: int, own: int, places: np.ndarray, idx: np.ndarray, gid: np.ndarray) -> pa.RecordBatch:
-    """One part's relation merge-joined with itself one place further, for places where frequent groups (local ``idx``, id ``gid``) start."""
+def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+    """One part's relation merge-joined with itself one place further, for places where frequent groups start."""
+    places = np.frombuffer(relation["places"][0].as_buffer(), np.int32)
+    own, part = relation["n"][0].as_py(), relation["part"][0].as_py()
+    idx, gid = frequent["idx"].to_numpy(), frequent["gid"].to_numpy()
     base = len(idx) + 1
     rank = np.zeros(max(places.max(initial=0), idx.max(initial=0)) + 1, np.int32)
     rank[idx] = np.arange(1, base)
@@ -148,49 +149,9 @@ def _extend(part: int, own: int, places: np.ndarray, idx: np.ndarray, gid: np.nd
     n = np.bincount(at[: np.searchsorted(both, own)], minlength=len(keys))
     longer = np.zeros(len(places), np.int32)
     longer[both] = at + 1
-    blobs = {"places": longer, "ga": gid[keys // base - 1], "gb": gid[keys % base - 1], "counts": n}
-    return _batch(_EXTENDED, 1, part=part, n=[own], **{k: [v.tobytes()] for k, v in blobs.items()})
-
-
-def _numbers(table: pa.Table | pa.RecordBatch, column: str, row: int, kind: type = np.int64) -> np.ndarray:
-    return np.frombuffer(table[column][row].as_buffer(), kind)
-
-
-def _extend_part(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """For parts that meet their own frequent groups in a shuffle."""
-    if not relation.num_rows or not frequent.num_rows:
-        return _schema(_EXTENDED).empty_table()
-    idx, gid = frequent["idx"].to_numpy(), frequent["gid"].to_numpy()
-    return pa.Table.from_batches([_extend(relation["part"][0].as_py(), relation["n"][0].as_py(), _numbers(relation, "places", 0, np.int32), idx, gid)])
-
-
-def _extend_here(frequent):
-    """For parts that look their groups up in all frequent ones (sorted by ga and gb)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gid, ga, gb = frequent.value
-        begins, ends = np.unique(ga), np.unique(gb)
-        known = np.searchsorted(begins, ga) * len(ends) + np.searchsorted(ends, gb)
-        for batch in batches:
-            for row in range(batch.num_rows):
-                a, b = _numbers(batch, "ga", row), _numbers(batch, "gb", row)
-                x, y = (np.minimum(np.searchsorted(v, c), len(v) - 1) for v, c in ((begins, a), (ends, b)))
-                pair = x * len(ends) + y
-                at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-                idx = np.flatnonzero((begins[x] == a) & (ends[y] == b) & (known[at] == pair))
-                yield _extend(batch["part"][row].as_py(), batch["n"][row].as_py(), _numbers(batch, "places", row, np.int32), idx + 1, gid[at[idx]])
-
-    return run
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A part's groups as rows."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            lists = [_numbers(batch, c, row) for c in ("ga", "gb", "counts")]
-            for k in range(0, len(lists[0]), 100_000):
-                ga, gb, n = (v[k : k + 100_000] for v in lists)
-                yield _batch(_LIST, len(n), part=batch["part"][row].as_py(), idx=np.arange(k + 1, k + 1 + len(n), dtype=np.int32), ga=ga, gb=gb, n=n)
+    found = [_batch(_EXTENDED, 1, part=part, idx=0, n=[own], places=[longer.tobytes()])] if len(keys) else []
+    found.append(_batch(_EXTENDED, len(keys), part=part, idx=np.arange(1, len(keys) + 1, dtype=np.int32), ga=gid[keys // base - 1], gb=gid[keys % base - 1], n=n))
+    return pa.Table.from_batches(found, _schema(_EXTENDED))
 
 
 def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, part: int = PART, small: int = SMALL) -> tuple[list[DataFrame], DataFrame]:
@@ -199,14 +160,13 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
     A table has gid, lang, phrase, word (the last one), a (occurrences), first (occurrences of the first 1, 2, ... words)
     and last (of the last 1, 2, ... words).
     """
-    spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(_q(group)).cast("string"), F.lit("und")), F.coalesce(F.col(_q(text)).cast("string"), F.lit("")))
     now = stored(rows.mapInArrow(_read(longest - 1, part), _READ), compression="zstd")
-    lists, key = now.where("word is not null"), ["lang", "word"]
-    totals = stored(lists.groupBy("lang").agg(F.sum("n").alias("n")))
-    none, tables = F.array().cast("array<bigint>"), []
+    totals = stored(now.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n")))
+    none = F.array().cast("array<bigint>")
+    key, tables = ["lang", "word"], []
     for k in range(1, longest + 1):
-        counts = lists.groupBy(key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+        counts = now.where("idx > 0").groupBy(key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
         if k == 1:
             found = counts.select("lang", F.col("word").alias("phrase"), "word", "a", none.alias("first"), none.alias("last"))
             found = found.withColumns({"ga": F.lit(None).cast("bigint"), "gb": F.lit(None).cast("bigint")})
@@ -215,30 +175,27 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
             b = tables[-1].select(F.col("gid").alias("gb"), "word", F.concat("last", F.array("a")).alias("last"))
             found = counts.join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
         # written before its ids are used: ids of a second run could differ
-        with rows_at_once(spark, 1):  # a part is one row
-            groups = stored(found.select(F.monotonically_increasing_id().alias("gid"), "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
+        groups = stored(found.select(F.monotonically_increasing_id().alias("gid"), "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
         tables.append(groups)
-        if k == longest:
-            break
-        frequent, few_groups = groups.select("gid", *key), groups.count() <= small
-        if few_groups and k > 1:
-            sorted_groups = frequent.toPandas().sort_values(["ga", "gb"])
-            shared = spark.sparkContext.broadcast([sorted_groups[c].to_numpy(np.int64) for c in ("gid", "ga", "gb")])
-            longer = now.mapInArrow(_extend_here(shared), _EXTENDED) if len(sorted_groups) else now.limit(0)
-        else:
-            kept = lists.select("part", "idx", *key).join(F.broadcast(frequent) if few_groups else frequent, key).select(F.col("part").alias("into"), "idx", "gid")
+        before = now
+        if k < longest:
+            frequent = groups.select("gid", *key)
+            frequent = F.broadcast(frequent) if groups.count() <= small else frequent
+            kept = now.where("idx > 0").select("part", "idx", *key).join(frequent, key).select(F.col("part").alias("into"), "idx", "gid")
             relation = now.where("places is not null").select("part", "n", "places")
-            longer = relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part, _EXTENDED)
-        with rows_at_once(spark, 1):
-            longer = stored(longer, compression="zstd")
-        discard(now)
-        now, key = longer, ["ga", "gb"]
-        lists = now.mapInArrow(_listed, _LIST)
-        release(spark)
-    discard(now)
+            now = stored(relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part, _EXTENDED), compression="zstd")
+        key = ["ga", "gb"]
+        discard(before)
+        release(docs.sparkSession)
     return tables, totals
 
 
+def _extend_part(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+    if not relation.num_rows or not frequent.num_rows:
+        return _schema(_EXTENDED).empty_table()
+    return _extend(relation, frequent)
+
+
 def collocations(
     docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, part: int = PART, small: int = SMALL
 ) -> DataFrame:

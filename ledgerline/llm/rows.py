@@ -8,7 +8,6 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,18 +100,6 @@ def stored(df: DataFrame, **options: str) -> DataFrame:
     return out
 
 
-@contextmanager
-def rows_at_once(spark: SparkSession, n: int) -> Iterator[None]:
-    """Jobs run inside hand Python ``n`` rows at a time: for rows of many megabytes."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, n)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files and broadcasts that no plan of the driver refers to any more; it
     learns of them when the driver collects its garbage."""
