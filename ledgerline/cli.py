@@ -44,6 +44,8 @@ def main(argv=None) -> None:
     ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
     ap.add_argument("--bucket-seconds", type=int, default=BUCKET_SECONDS, help="time bucket of the pairing shuffle")
     ap.add_argument("--blank-date", default=None, help="date of an absent approval or funding (YYYY-MM-DD); default NULL")
+    ap.add_argument("--unread", action="append", default=[], metavar="SOURCE=KEY",
+                    help="a left-joined source of which no column is used, with its key (checked to be unique)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.job}").getOrCreate()
@@ -60,16 +62,18 @@ def main(argv=None) -> None:
         holidays=tuple(dt.date.fromisoformat(d) for d in args.holidays.split(",") if d),
         yearly_holidays=tuple((int(d[:2]), int(d[3:5])) for d in args.yearly_holidays.split(",") if d),
     )
+    unread = {name: (src[name], key) for name, _, key in (u.partition("=") for u in args.unread)}
     if args.job == "turnaround":
         names = ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")
         out = refresh.refresh_turnaround(
             spark, {n: src[n] for n in names}, params, hours, args.out,
-            bucket_seconds=args.bucket_seconds,
+            bucket_seconds=args.bucket_seconds, unread=unread,
         )
     else:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})
         out = {"snapshot": refresh.refresh_snapshot(
-            spark, s, params, args.out, blank_date=dt.date.fromisoformat(args.blank_date) if args.blank_date else None
+            spark, s, params, args.out, blank_date=dt.date.fromisoformat(args.blank_date) if args.blank_date else None,
+            unread=unread,
         )}
     print(json.dumps(out))
 

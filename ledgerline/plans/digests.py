@@ -146,9 +146,10 @@ def delinquency_digest(summary: DataFrame, detail: DataFrame, as_of: dt.date) ->
 
 def funding_digest(funding: DataFrame, pass_through) -> DataFrame:
     """Per application: ``have_a_co_app`` (a second applicant row exists) and the
-    primary row's attributes as ``prim`` (struct of ``pass_through``)."""
+    primary row's attributes as ``prim`` (struct of ``pass_through``), with the number
+    of primary rows ``n_prim``."""
     prim = F.when(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE, F.struct(*pass_through))
     g = funding.groupBy(F.col("application_no").alias("id")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(prim).alias("prim")
+        F.count(F.lit(1)).alias("_rows"), F.count(prim).alias("n_prim"), F.max(prim).alias("prim")
     )
-    return g.select("id", F.when(F.col("_rows") >= 2, F.lit(1)).otherwise(F.lit(0)).alias("have_a_co_app"), "prim")
+    return g.select("id", F.when(F.col("_rows") >= 2, F.lit(1)).otherwise(F.lit(0)).alias("have_a_co_app"), "prim", "n_prim")

@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.functions.caltime import assert_calendar_covers
+from ledgerline.operators.audit import KeyAudit, watched
 from ledgerline.operators.keys import BUCKET_SECONDS, assert_unique
 from ledgerline.operators.summary import grouping_sets_summary, split_grains
 from ledgerline.params import BusinessHours, RunParams
@@ -22,7 +23,7 @@ from ledgerline.plans import snapshot as snap
 from ledgerline.plans import workflow as wf
 from ledgerline.schemas import DETAILS_TARGET, SNAPSHOT_TARGET, SUMMARY_TARGETS
 from ledgerline.session import checkpoint_dir
-from ledgerline.sources.sinks import publish
+from ledgerline.sources.sinks import publish, publish_together
 
 TURNAROUND_TABLES = {
     "details": "extract_data_sending_stats_details",
@@ -33,6 +34,13 @@ TURNAROUND_TABLES = {
 SNAPSHOT_TABLE = "contract_snapshot_detail"
 
 
+def _check_unread(unread: Mapping[str, tuple[DataFrame, str]] | None) -> None:
+    """Left-joined sources of which no column is used are not joined at all, which is only right while
+    their key is unique. Nothing else reads them, so each is counted on its own."""
+    for name, (df, key) in (unread or {}).items():
+        assert_unique(df, [key], name)
+
+
 def refresh_turnaround(
     spark: SparkSession,
     src: Mapping[str, DataFrame],
@@ -41,39 +49,37 @@ def refresh_turnaround(
     out_base: str,
     bucket_seconds: int = BUCKET_SECONDS,
     validate: bool = True,
-    validate_bridge: bool = False,
     tables: dict[str, str] | None = None,
+    unread: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> dict[str, str]:
-    """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the
-    published path per table. ``validate`` first asserts that the contract, date and
-    dealer keys the scope joins on are unique (a repeated key would multiply events).
-    ``validate_bridge`` also checks the application bridge; it is off by default
-    because it shuffles every application key (an order-sized table). ``tables``
-    overrides the published table names (keys as in ``TURNAROUND_TABLES``)."""
+    """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the published path per
+    table; the four tables become current with one commit. ``validate`` counts the copies of every
+    joined key (contracts, dates, dealers, statuses, the application bridge) inside the joins
+    themselves and raises before anything is committed if one repeats. ``unread`` names left-joined
+    sources of which no column is used, with their key. ``tables`` overrides the published table names
+    (keys as in ``TURNAROUND_TABLES``)."""
     names = {**TURNAROUND_TABLES, **(tables or {})}
     checkpoint_dir(spark)
+    audit = KeyAudit() if validate else None
     if validate:
-        assert_unique(src["ca"], ["id"], "contracts")
-        assert_unique(src["date_dim"], ["date_key"], "date dimension")
-        assert_unique(src["dealer"], ["d_key"], "dealers")
-        assert_unique(src["ca_status"], ["ca_st_key"], "contract statuses")
-    if validate_bridge:
-        assert_unique(src["app"], ["application_id"], "application bridge")
-    sendings = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
-    events = wf.wf_events(src["wf_history"], src["app"], sendings, params)
+        _check_unread(unread)
+    app = watched(audit, src["app"].select("application_id", "ca_id"), ["application_id"], "application bridge")
+    dates = watched(audit, src["date_dim"].select("date_key", "full_date"), ["date_key"], "date dimension")
+    dealers = watched(audit, src["dealer"].select("d_key"), ["d_key"], "dealers")
+    sendings = wf.sendings_in_window(src["ca"], dates, dealers, params)
+    events = wf.wf_events(src["wf_history"], app, sendings, params)
     pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds).checkpoint()
+    if audit:
+        audit.check()
     assert_calendar_covers(pairs, ["type_1_time", "type_2_time"], hours)
-    out = {
-        "details": publish(
-            wf.sending_details(pairs, src["ca"], src["ca_status"], sendings),
-            f"{out_base}/{names['details']}",
-            DETAILS_TARGET,
-        )
-    }
-    grains = split_grains(grouping_sets_summary(pairs).checkpoint())
-    for grain, df in grains.items():
-        out[grain] = publish(df, f"{out_base}/{names[grain]}", SUMMARY_TARGETS[grain])
-    return out
+    contracts = watched(audit, src["ca"].select("id", "ca_st_key"), ["id"], "contracts")
+    statuses = watched(audit, src["ca_status"].select("ca_st_key", "ca_s_name"), ["ca_st_key"], "contract statuses")
+    plain = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
+    frames = {"details": (wf.sending_details(pairs, contracts, statuses, plain), DETAILS_TARGET)}
+    for grain, df in split_grains(grouping_sets_summary(pairs).checkpoint()).items():
+        frames[grain] = (df, SUMMARY_TARGETS[grain])
+    paths = publish_together({names[k]: f for k, f in frames.items()}, out_base, check=audit.check if audit else None)
+    return {k: paths[names[k]] for k in frames}
 
 
 def refresh_snapshot(
@@ -86,13 +92,13 @@ def refresh_snapshot(
     blank_date: dt.date | None = None,
     unread: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> str:
-    """Publish the 102-column snapshot; ``validate`` first asserts that every key it joins
-    on is unique. ``blank_date`` stands for an absent approval or funding date (NULL).
-    ``unread`` names left-joined sources of which no column is used, with their key: leaving
-    the join out is only right while the key is unique, so that is checked as well."""
+    """Publish the 102-column snapshot; ``validate`` counts the copies of every joined key inside the
+    joins and raises before the commit if one repeats. ``blank_date`` stands for an absent approval or
+    funding date (NULL). ``unread`` names left-joined sources of which no column is used, with their
+    key: leaving the join out is only right while the key is unique, so that is checked as well."""
     checkpoint_dir(spark)
+    audit = KeyAudit() if validate else None
     if validate:
-        for name, (df, key) in (unread or {}).items():
-            assert_unique(df, [key], name)
-    df = snap.wide_contract_snapshot(sources, params.as_of, blank_date=blank_date, validate=validate)
-    return publish(df, f"{out_base}/{table}", SNAPSHOT_TARGET)
+        _check_unread(unread)
+    df = snap.wide_contract_snapshot(sources, params.as_of, blank_date=blank_date, audit=audit)
+    return publish(df, f"{out_base}/{table}", SNAPSHOT_TARGET, check=audit.check if audit else None)

@@ -13,7 +13,7 @@ runtime, a shuffle join otherwise. Nothing here forces a broadcast.
 
 Left-joined sources that are not aggregates (funding row of the primary
 applicant, default periods, adjustments, exposure, disposition) must be unique
-on their key; ``validate=True`` asserts it before joining (N10).
+on their key; a ``KeyAudit`` counts their copies inside the joins (N10).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.keys import assert_unique
+from ledgerline.operators.audit import KeyAudit, watched
 from ledgerline.params import (
     APPROVAL_DATE_STATUS_KEYS,
     APPROVED_STATUS_KEYS,
@@ -122,10 +122,6 @@ class SnapshotSources:
     dis_report: DataFrame
 
 
-def _unique(df: DataFrame, keys, name: str, validate: bool) -> DataFrame:
-    return assert_unique(df, keys, name) if validate else df
-
-
 def _prefixed(df: DataFrame, key: str, prefix: str, cols) -> DataFrame:
     return df.select(F.col(key).alias("id"), *[F.col(c).alias(prefix + c) for c in cols])
 
@@ -164,11 +160,11 @@ def _date_role(date_dim: DataFrame, prefix: str) -> DataFrame:
     return date_dim.select(F.col("date_key").alias(f"{prefix}_date_key"), F.col("full_date").alias(f"{prefix}_full_date"))
 
 
-def _flag_sources(base: DataFrame, s: SnapshotSources, as_of: dt.date, funding: DataFrame, validate: bool) -> DataFrame:
+def _flag_sources(base: DataFrame, s: SnapshotSources, as_of: dt.date, funding: DataFrame, audit: KeyAudit | None) -> DataFrame:
     """Left joins feeding ``flag_columns`` (``base`` carries ``id``; ``funding`` is
     the funding digest prefixed ``fd_``)."""
-    ldef = _unique(_prefixed(s.l_def, "id", "def_", ["id", "def_from_date", "def_until_date"]), ["id"], "ca_l_def", validate)
-    exp = _unique(_prefixed(s.exposure, "most_recent_app", "ee_", ["most_recent_app"]), ["id"], "exposure", validate)
+    ldef = watched(audit, _prefixed(s.l_def, "id", "def_", ["id", "def_from_date", "def_until_date"]), ["id"], "ca_l_def")
+    exp = watched(audit, _prefixed(s.exposure, "most_recent_app", "ee_", ["most_recent_app"]), ["id"], "exposure")
     dq = digests.delinquency_digest(s.delinq_summary, s.delinq_detail, as_of)
     j = base.join(funding, "id", "left")
     j = j.join(_prefixed(dq, "id", "dq_", ["d_flag", "first_i_due_date"]), "id", "left")
@@ -179,23 +175,22 @@ def _flag_sources(base: DataFrame, s: SnapshotSources, as_of: dt.date, funding:
     return j
 
 
-def _funding(s: SnapshotSources, validate: bool) -> DataFrame:
-    if validate:
-        prim = s.funding.filter(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE)
-        assert_unique(prim, ["application_no"], "primary funding row")
+def _funding(s: SnapshotSources, audit: KeyAudit | None) -> DataFrame:
     fd = digests.funding_digest(s.funding, list(FUNDING_PASS_THROUGH))
+    if audit:
+        fd = audit.watch_count(fd, "n_prim", ["id"], "primary funding row")
     return fd.select("id", F.col("have_a_co_app").alias("fd_have_a_co_app"),
                      *[F.col(f"prim.{c}").alias(f"ino_{c}") for c in FUNDING_PASS_THROUGH])
 
 
-def contract_flags(s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, validate: bool = False) -> DataFrame:
+def contract_flags(s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, audit: KeyAudit | None = None) -> DataFrame:
     """``id`` + the twelve flag/date columns, for every contract (date roles joined
     left so no contract is dropped)."""
     base = s.ca.select("id", "ca_st_key", "last_decisioned_ca_st_key", "last_decisioned_date_key", "funing_date_key")
     base = base.join(_date_role(s.date_dim, "da"), F.col("last_decisioned_date_key") == F.col("da_date_key"), "left")
     base = base.join(_date_role(s.date_dim, "df"), F.col("funing_date_key") == F.col("df_date_key"), "left")
-    fd = _funding(s, validate).select("id", "fd_have_a_co_app")
-    j = _flag_sources(base, s, as_of, fd, validate)
+    fd = _funding(s, audit).select("id", "fd_have_a_co_app")
+    j = _flag_sources(base, s, as_of, fd, audit)
     return j.select("id", *flag_columns(blank_date))
 
 
@@ -253,7 +248,7 @@ FUNDING_PASS_THROUGH = tuple(sorted({src[4:] for _, src in SNAPSHOT_COLUMNS if s
 
 
 def wide_contract_snapshot(
-    s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, validate: bool = False
+    s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, audit: KeyAudit | None = None
 ) -> DataFrame:
     """The 102-column contract snapshot for contracts with a submission date key > 0.
 
@@ -261,14 +256,10 @@ def wide_contract_snapshot(
     fact; the fact-to-digest joins are co-partitioned on ``id``. Dimension joins
     are left to the planner (broadcast when its size estimate is under
     ``spark.sql.autoBroadcastJoinThreshold``, or when AQE measures it small).
+
+    ``audit`` watches every key that must be unique inside these same joins; ask its
+    ``check()`` once the snapshot is written.
     """
-    if validate:
-        for df, key, name in (
-            (s.ca, "id", "contracts"), (s.ca_status, "ca_st_key", "contract statuses"), (s.date_dim, "date_key", "date dimension"),
-            (s.dealer, "d_key", "dealers"), (s.ams, "ams_key", "managers"), (s.mk_program, "mk_program_detail_id", "programs"),
-            (s.app, "application_id", "application bridge"),
-        ):
-            assert_unique(df, [key], name)
     keys = ["ca_st_key", "last_decisioned_ca_st_key", "sub_date_key", "last_decisioned_date_key",
             "funing_date_key", "d_key", "mk_program_detail_id", "funing_port_key"]
     fact = s.ca.filter(F.col("sub_date_key") > 0).select(
@@ -276,31 +267,38 @@ def wide_contract_snapshot(
     )
 
     # inner joins to dimensions first (they can only drop rows)
-    j = fact.join(s.ca_status.select("ca_st_key", F.col("ca_s_name").alias("s_ca_s_name")), "ca_st_key", "inner")
+    status = s.ca_status.select("ca_st_key", F.col("ca_s_name").alias("s_ca_s_name"))
+    j = fact.join(watched(audit, status, ["ca_st_key"], "contract statuses"), "ca_st_key", "inner")
+    dates = watched(audit, s.date_dim.select("date_key", "full_date"), ["date_key"], "date dimension")
     for role, key in (("ds", "sub_date_key"), ("da", "last_decisioned_date_key"), ("df", "funing_date_key")):
-        j = j.join(_date_role(s.date_dim, role), F.col(key) == F.col(f"{role}_date_key"), "inner")
+        j = j.join(_date_role(dates, role), F.col(key) == F.col(f"{role}_date_key"), "inner")
     dealer = s.dealer.select("d_key", F.coalesce(F.col("ams_key"), F.lit(0)).alias("_ams_key"), F.col("pro").alias("dl_pro"))
     per_mgr = facts.dealers_per_manager(s.dealer, s.ams, s.ca).select(
         F.col("ams_key").alias("_ams_key"), F.col("total_d_under_ams").alias("u_total_d_under_ams")
     )
     # dealer, manager and dealer count become one table, so the fact meets one join for all three
-    dealer = dealer.join(s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name")), "_ams_key", "left")
+    managers = s.ams.select(F.col("ams_key").alias("_ams_key"), F.col("ams_name").alias("am_ams_name"))
+    dealer = dealer.join(watched(audit, managers, ["_ams_key"], "managers"), "_ams_key", "left")
     dealer = dealer.join(per_mgr, "_ams_key", "left")
-    j = j.join(dealer, "d_key", "inner")
-    j = j.join(s.mk_program.select("mk_program_detail_id", "mk_program_name"), "mk_program_detail_id", "left")
+    j = j.join(watched(audit, dealer, ["d_key"], "dealers"), "d_key", "inner")
+    programs = s.mk_program.select("mk_program_detail_id", "mk_program_name")
+    j = j.join(watched(audit, programs, ["mk_program_detail_id"], "programs"), "mk_program_detail_id", "left")
+    # the joins below shuffle the fact on id anyway; a contract that repeats there repeats in its source
+    j = watched(audit, j, ["id"], "contracts", joined_to=False)
 
     # per-contract digests, all keyed by id
-    j = _flag_sources(j, s, as_of, _funding(s, validate), validate)
+    j = _flag_sources(j, s, as_of, _funding(s, audit), audit)
     j = j.join(_prefixed(facts.max_current_score(s.trans_return), "id", "catr_", ["highest_fco"]), "id", "left")
     sl = digests.status_log_digest(s.status_log)
+    app = watched(audit, s.app.select("application_id", "ca_id"), ["application_id"], "application bridge")
     j = j.join(_prefixed(sl, "id", "sl_", ["cou_of_submits", "fun_date_time", "first_package_time"]), "id", "left")
-    j = j.join(_prefixed(digests.decision_digest(s.decisions, s.app), "id", "dd_", ["first_dec", "last_dec", "last_app"]), "id", "left")
-    j = j.join(_prefixed(digests.workflow_digest(s.history_t, s.app), "id", "wd_", ["last_wf", "fun", "boo"]), "id", "left")
+    j = j.join(_prefixed(digests.decision_digest(s.decisions, app), "id", "dd_", ["first_dec", "last_dec", "last_app"]), "id", "left")
+    j = j.join(_prefixed(digests.workflow_digest(s.history_t, app), "id", "wd_", ["last_wf", "fun", "boo"]), "id", "left")
     lows = [f"low_{p}" for p in RELATION_TYPES.values()]
-    j = j.join(_prefixed(digests.customer_row_digest(s.ino_c, s.app), "id", "cr_", ["returningcflag", *lows]), "id", "left")
-    ra = _unique(_prefixed(s.res_adj, "id", "ra_", ["re_program", "re_program_start_date"]), ["id"], "res_adj", validate)
+    j = j.join(_prefixed(digests.customer_row_digest(s.ino_c, app), "id", "cr_", ["returningcflag", *lows]), "id", "left")
+    ra = watched(audit, _prefixed(s.res_adj, "id", "ra_", ["re_program", "re_program_start_date"]), ["id"], "res_adj")
     j = j.join(ra, "id", "left")
-    dr = _unique(_prefixed(s.dis_report, "contract_id", "dr_", ["current_status"]), ["id"], "dis_report", validate)
+    dr = watched(audit, _prefixed(s.dis_report, "contract_id", "dr_", ["current_status"]), ["id"], "dis_report")
     j = j.join(dr, "id", "left")
 
     booked = F.col("ca_st_key") == BOOKED_STATUS_KEY
