@@ -1,17 +1,23 @@
 """Segmented turnaround summaries at grain analyst, month, or analyst and month.
 
 A detail row belongs to at most one segment (track + outcome state), so the
-segment is a CASE expression, not a join. Every grain is one ``groupBy``;
-``segment_summaries`` computes all three grains in one pass with GROUPING SETS.
+segment is a CASE expression, not a join.
+
+One grain (``segment_summary``) is one ``groupBy`` with ``count_distinct``. All three
+(``segment_summaries``) come from one shuffle of the detail rows: they are folded into cells, one for each
+segment, analyst, month and bucket of 32,768 contract ids, that hold a row count, a sum and a bitmap of the
+contracts. Bitmaps are exact sets that can be merged: the coarser grains OR the bitmaps of a bucket and count bits, so
+no contract id is shuffled again. The fold is partial before the shuffle, and a hot analyst, month or contract
+becomes a few cells of each map task. A bitmap takes 4 KB whatever it holds; contracts sent in one window are
+neighbours in id, so a cell is well filled.
 
-Scale notes: ``count_distinct`` is planned by Spark as a two-level aggregate
-(first de-duplicating ``(group, ca_id)``, then counting), so a hot analyst is
-pre-aggregated map-side and never funnels its raw rows into one task.
 The average is ``sum div count`` (integer average of integer seconds).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,22 +31,22 @@ GRAIN_COLUMNS = {
 }
 
 
-def _segment_case(track: str, outcome: str, field: int) -> Column:
+def _segment_case(segments: Sequence[tuple], track: str, outcome: str, field: int) -> Column:
     expr = None
-    for seg in SEGMENTS:
+    for seg in segments:
         cond = (F.col(track) == F.lit(seg[2])) & F.col(outcome).isin(list(seg[3]))
         value = F.lit(seg[field])
         expr = F.when(cond, value) if expr is None else expr.when(cond, value)
     return expr
 
 
-def tag_segments(details: DataFrame, track: str = "track") -> DataFrame:
-    """Detail rows that fall in a segment, with ``seq``, ``group_name``, ``se_analyst``
+def tag_segments(details: DataFrame, track: str = "track", segments: Sequence[tuple] = SEGMENTS) -> DataFrame:
+    """Detail rows that fall in one of the ``segments`` (number, name, track, outcome states), with ``seq``, ``group_name``, ``se_analyst``
     (the outcome's actor) and ``sending_mt`` (the outcome's year-month)."""
     return (
         details.select(
-            _segment_case(track, "type_2", 0).cast("int").alias("seq"),
-            _segment_case(track, "type_2", 1).alias("group_name"),
+            _segment_case(segments, track, "type_2", 0).cast("int").alias("seq"),
+            _segment_case(segments, track, "type_2", 1).alias("group_name"),
             F.col("type_2_by").alias("se_analyst"),
             yyyymm(F.col("type_2_time")).alias("sending_mt"),
             F.col("ca_id"),
@@ -57,47 +63,38 @@ def _measures() -> list[Column]:
     ]
 
 
-def segment_summary(details: DataFrame, grain: str, track: str = "track") -> DataFrame:
+def segment_summary(details: DataFrame, grain: str, track: str = "track", segments: Sequence[tuple] = SEGMENTS) -> DataFrame:
     """One grain: ``seq, group_name, <grain columns>, unique_con, count_of_ac, avg_t_hms``."""
     keys = GRAIN_COLUMNS[grain]
-    tagged = tag_segments(details, track)
+    tagged = tag_segments(details, track, segments)
     return tagged.groupBy("seq", "group_name", *keys).agg(*_measures()).select(
         "seq", "group_name", *keys, "unique_con", "count_of_ac", "avg_t_hms"
     )
 
 
-def grouping_sets_summary(details: DataFrame, track: str = "track") -> DataFrame:
-    """All three grains in one GROUPING SETS aggregate, tagged by ``_gid``.
-
-    ``grouping_id()`` separates the grains (an analyst can be NULL, so NULL cannot
-    mark "not grouped"). Checkpoint the (small) result before slicing it with
-    ``split_grains`` if the slices are written separately.
-    """
-    tagged = tag_segments(details, track)
-    sets = [
-        [F.col("seq"), F.col("group_name"), F.col("se_analyst")],
-        [F.col("seq"), F.col("group_name"), F.col("sending_mt")],
-        [F.col("seq"), F.col("group_name"), F.col("se_analyst"), F.col("sending_mt")],
-    ]
-    return tagged.groupingSets(sets, "seq", "group_name", "se_analyst", "sending_mt").agg(
-        F.grouping_id().alias("_gid"), *_measures()
-    )
+_CELL = ("seq", "group_name", "se_analyst", "sending_mt", "_bucket")
 
 
-# grouping_id bits over (seq, group_name, se_analyst, sending_mt): 1 = not grouped
-_GIDS = {"analyst": 1, "month": 2, "analyst_month": 0}
+def summary_cells(details: DataFrame, track: str = "track", segments: Sequence[tuple] = SEGMENTS) -> DataFrame:
+    """The cells that all grains are merged from: one shuffle of the detail rows. Checkpoint them if the
+    grains are written one by one."""
+    tagged = tag_segments(details, track, segments).withColumn("_bucket", F.bitmap_bucket_number("ca_id"))
+    return tagged.groupBy(*_CELL).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("ca_id")).alias("_contracts"),
+        F.count("ca_id").alias("_rows"), F.sum("_dur").alias("_sum"), F.count("_dur").alias("_n"),
+    )
 
 
-def split_grains(allg: DataFrame) -> dict[str, DataFrame]:
-    out = {}
-    for grain, gid in _GIDS.items():
-        keys = GRAIN_COLUMNS[grain]
-        out[grain] = allg.filter(F.col("_gid") == gid).select(
-            "seq", "group_name", *keys, "unique_con", "count_of_ac", "avg_t_hms"
-        )
-    return out
+def merged(cells: DataFrame, grain: str) -> DataFrame:
+    """One grain from the cells; same columns as ``segment_summary``."""
+    keys = ["seq", "group_name", *GRAIN_COLUMNS[grain]]
+    sums = [F.sum(c).alias(c) for c in ("_rows", "_sum", "_n")]
+    parts = cells.groupBy(*keys, "_bucket").agg(F.bitmap_or_agg("_contracts").alias("_contracts"), *sums)
+    whole = parts.withColumn("_contracts", F.when(F.col("_bucket").isNotNull(), F.bitmap_count("_contracts")).otherwise(0))
+    whole = whole.groupBy(*keys).agg(F.sum("_contracts").alias("unique_con"), *sums)
+    return whole.select(*keys, "unique_con", F.col("_rows").alias("count_of_ac"), format_hms(int_div(F.col("_sum"), F.col("_n"))).alias("avg_t_hms"))
 
 
-def segment_summaries(details: DataFrame, track: str = "track") -> dict[str, DataFrame]:
-    """The three grains from one aggregate (see ``grouping_sets_summary``)."""
-    return split_grains(grouping_sets_summary(details, track))
+def segment_summaries(cells: DataFrame) -> dict[str, DataFrame]:
+    """The three grains of ``summary_cells``."""
+    return {grain: merged(cells, grain) for grain in GRAIN_COLUMNS}

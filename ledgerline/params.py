@@ -96,7 +96,9 @@ SEGMENTS = (
     (5, "From Def New D to Fun", "def_new_doc", ("Secu", "Fun")),
 )
 
+# the code of the primary applicant: in the funding rows, and in the sending rows
 PRIMARY_APPLICANT_TYPE = "Prim"
+SENDING_PRIMARY_TYPE = "Primary"
 
 # status log codes
 SUBMIT_STATUS_IDS = (289, 290)

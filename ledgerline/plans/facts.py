@@ -13,6 +13,7 @@ Tie rules (NULLs first ascending, last descending, as in Spark and T-SQL):
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,12 +114,11 @@ def first_last_decision(decisions: DataFrame, app: DataFrame, submitted: DataFra
 
 def last_approval(decisions: DataFrame, app: DataFrame) -> DataFrame:
     """Latest approval-type decision per contract: ``id, last_app_date_time, vin``."""
-    d = decisions.filter(F.col("decisiondescription").isin(list(APPROVAL_DECISIONS))).select(
-        "applicationid", "decisiondate", "vin", "decisiondescription"
-    )
-    d = _decisions_by_contract(d, app)
-    last = latest_per_key(d, ["id"], "decisiondate", ["vin", "decisiondescription"])
-    return last.select("id", F.col("decisiondate").alias("last_app_date_time"), "vin")
+    d = decisions.filter(F.col("decisiondescription").isin(list(APPROVAL_DECISIONS)))
+    # folded per application, then per contract: raw decisions never meet on a contract
+    per_app = d.groupBy("applicationid").agg(F.max(F.struct("decisiondate", "vin", "decisiondescription")).alias("last"))
+    last = _decisions_by_contract(per_app, app).groupBy("id").agg(F.max("last").alias("last"))
+    return last.select("id", F.col("last.decisiondate").alias("last_app_date_time"), F.col("last.vin").alias("vin"))
 
 
 def last_funding(status_log: DataFrame) -> DataFrame:
@@ -200,17 +200,23 @@ def prior_bankruptcy(bureau: DataFrame) -> DataFrame:
     return bureau.filter(F.col("prebankre") != 0).select("id").distinct()
 
 
-def annual_income_by_relation(app: DataFrame, ino_c: DataFrame) -> DataFrame:
-    """Per contract and relation (1 primary, 2 co-applicant, 3 co-signer) the row
-    with the lowest income (NULL first; ties by lower total, then frequency).
+INCOME_ORDER = ("ginome", "antotal", "ginomefre")
+
+
+def annual_income_by_relation(app: DataFrame, ino_c: DataFrame, order: Sequence[str] = INCOME_ORDER, lowest: bool = True) -> DataFrame:
+    """Per contract and relation (1 primary, 2 co-applicant, 3 co-signer) one income row: the first
+    one by ``order``, from below (NULL first) or, if not ``lowest``, from above. By default the row
+    with the lowest income; ties by lower total, then frequency.
 
     Columns: ``id, relationtype, ginomefre, ginome, sub_a_inome, antotal``.
     """
-    rows = ino_c.filter((F.col("isdeleted") == 0) & F.col("relationtype").isin(list(RELATION_TYPES))).select(
-        F.col("applicationid").alias("application_id"), "relationtype", "ginomefre", "ginome", "antotal"
-    )
-    rows = rows.join(app.select("application_id", F.col("ca_id").alias("id")), "application_id", "inner")
-    low = nth_per_key(rows, ["id", "relationtype"], ["ginome", "antotal", "ginomefre"], 1)
+    pick = F.min if lowest else F.max
+    rows = ino_c.filter((F.col("isdeleted") == 0) & F.col("relationtype").isin(list(RELATION_TYPES)))
+    row = F.struct(*order, *[c for c in INCOME_ORDER if c not in order])
+    # folded per application, then per contract: raw rows never meet on a contract
+    per_app = rows.groupBy(F.col("applicationid").alias("application_id"), "relationtype").agg(pick(row).alias("row"))
+    per_app = per_app.join(app.select("application_id", F.col("ca_id").alias("id")), "application_id", "inner")
+    low = per_app.groupBy("id", "relationtype").agg(pick("row").alias("row")).select("id", "relationtype", "row.*")
     return low.select(
         "id", "relationtype", "ginomefre", "ginome", annualised(F.col("ginomefre"), F.col("ginome")).alias("sub_a_inome"), "antotal"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerline.functions.caltime import assert_calendar_covers
 from ledgerline.operators.audit import KeyAudit, watched
 from ledgerline.operators.keys import BUCKET_SECONDS, assert_unique
-from ledgerline.operators.summary import grouping_sets_summary, split_grains
+from ledgerline.operators.summary import segment_summaries, summary_cells
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import snapshot as snap
 from ledgerline.plans import workflow as wf
@@ -76,7 +76,7 @@ def refresh_turnaround(
     statuses = watched(audit, src["ca_status"].select("ca_st_key", "ca_s_name"), ["ca_st_key"], "contract statuses")
     plain = wf.sendings_in_window(src["ca"], src["date_dim"], src["dealer"], params)
     frames = {"details": (wf.sending_details(pairs, contracts, statuses, plain), DETAILS_TARGET)}
-    for grain, df in split_grains(grouping_sets_summary(pairs).checkpoint()).items():
+    for grain, df in segment_summaries(summary_cells(pairs).checkpoint()).items():
         frames[grain] = (df, SUMMARY_TARGETS[grain])
     paths = publish_together({names[k]: f for k, f in frames.items()}, out_base, check=audit.check if audit else None)
     return {k: paths[names[k]] for k in frames}

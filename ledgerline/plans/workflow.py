@@ -7,11 +7,14 @@ detail table and segment summaries.
 
 Inputs are DataFrames with the source schemas of ``FIXTURES.md`` part A
 (``ca`` = contract fact, ``date_dim``, ``dealer``, ``app``, ``wf_history``,
-``ca_status``, ``funding_data``).
+``ca_status``, ``ca_sending_data_ino``). Codes (state type, state ids by class, tracks, applicant type) are
+arguments whose defaults are the source system's values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +23,7 @@ from ledgerline.operators.keys import BUCKET_SECONDS, sequence_per_key
 from ledgerline.operators.pairing import pair_next_event
 from ledgerline.params import (
     BOOKED_STATUS_KEY,
-    PRIMARY_APPLICANT_TYPE,
+    SENDING_PRIMARY_TYPE,
     SENDING_STATE_TYPE,
     STATE_CLASSES,
     BusinessHours,
@@ -54,22 +57,29 @@ def sendings_in_window(ca: DataFrame, date_dim: DataFrame, dealer: DataFrame, pa
     return sent.select("ca_id", "full_date")
 
 
-def _state_class() -> F.Column:
+def _state_class(classes: Mapping[str, Sequence[int]]) -> F.Column:
     expr = None
-    for cls, ids in STATE_CLASSES.items():
+    for cls, ids in classes.items():
         cond = F.col("wf_state_id").isin(list(ids))
         expr = F.when(cond, F.lit(cls)) if expr is None else expr.when(cond, F.lit(cls))
     return expr
 
 
-def wf_events(history: DataFrame, app: DataFrame, sendings: DataFrame, params: RunParams) -> DataFrame:
-    """One scan of the history: sending-workflow events of in-scope contracts since
-    ``start``, each with its state class. Columns: ``ca_id, state_class,
-    wf_state_name, u_date_time, u_by``."""
+def wf_events(
+    history: DataFrame,
+    app: DataFrame,
+    sendings: DataFrame,
+    params: RunParams,
+    state_type: str = SENDING_STATE_TYPE,
+    classes: Mapping[str, Sequence[int]] = STATE_CLASSES,
+) -> DataFrame:
+    """One scan of the history: events of the workflow ``state_type`` of in-scope contracts since
+    ``start``, each with its state class (``classes``: class to state ids; events of no class go).
+    Columns: ``ca_id, state_class, wf_state_name, u_date_time, u_by``."""
     ev = history.filter(
-        (F.col("wf_state_type_name") == SENDING_STATE_TYPE)
+        (F.col("wf_state_type_name") == state_type)
         & (F.col("u_date_time") >= F.lit(params.start).cast("timestamp_ntz"))
-    ).withColumn("state_class", _state_class()).filter(F.col("state_class").isNotNull())
+    ).withColumn("state_class", _state_class(classes)).filter(F.col("state_class").isNotNull())
     ev = ev.join(app.select("application_id", "ca_id"), "application_id", "inner")
     ev = ev.join(sendings.select("ca_id"), "ca_id", "left_semi")
     return ev.select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by")
@@ -84,11 +94,11 @@ def wf_events_by_state(events: DataFrame, bucket_seconds: int = BUCKET_SECONDS)
     ).select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by", "seq_no")
 
 
-def pairing_input(events: DataFrame) -> DataFrame:
+def pairing_input(events: DataFrame, tracks: Mapping[str, tuple[str, Sequence[str]]] = TRACKS) -> DataFrame:
     """Events placed on each track they take part in, with role start/outcome.
     A deferred-pending or funded event is an outcome on both tracks."""
     entries = []
-    for track, (start_cls, outcome_cls) in TRACKS.items():
+    for track, (start_cls, outcome_cls) in tracks.items():
         entries.append((start_cls, track, "start"))
         for cls in outcome_cls:
             entries.append((cls, track, "outcome"))
@@ -109,13 +119,14 @@ def turnaround_pairs(
     events: DataFrame,
     hours: BusinessHours,
     bucket_seconds: int = BUCKET_SECONDS,
+    tracks: Mapping[str, tuple[str, Sequence[str]]] = TRACKS,
 ) -> DataFrame:
-    """Both pairings (``track`` = ready / def_new_doc) with business-time duration.
+    """The pairings of all tracks; by default both (``track`` = ready / def_new_doc) with business-time duration.
 
     Columns: ``track, ca_id, type_1, type_1_time, type_1_by, type_2, type_2_time,
     type_2_by, type_1_to_type_2_duration``.
     """
-    pairs = pair_next_event(pairing_input(events), track="track", bucket_seconds=bucket_seconds)
+    pairs = pair_next_event(pairing_input(events, tracks), track="track", bucket_seconds=bucket_seconds)
     cal = business_calendar(spark, hours)
     return with_business_seconds(pairs, "type_1_time", "type_2_time", "type_1_to_type_2_duration", cal, hours)
 
@@ -149,19 +160,25 @@ def sending_details(pairs: DataFrame, ca: DataFrame, ca_status: DataFrame, sendi
 
 
 def current_wf_state(
-    history: DataFrame, app: DataFrame, ca: DataFrame, funding: DataFrame, params: RunParams
+    history: DataFrame,
+    app: DataFrame,
+    ca: DataFrame,
+    sending_data: DataFrame,
+    params: RunParams,
+    state_type: str = SENDING_STATE_TYPE,
+    applicant_type: str = SENDING_PRIMARY_TYPE,
 ) -> DataFrame:
-    """Latest sending-workflow state per contract that has a primary applicant row.
-    Columns: ``ca_id, wf_state_name, u_date_time``."""
+    """Latest state in the workflow ``state_type`` per contract that has a sending row of the
+    ``applicant_type``. Columns: ``ca_id, wf_state_name, u_date_time``."""
     ev = history.filter(
-        (F.col("wf_state_type_name") == SENDING_STATE_TYPE)
+        (F.col("wf_state_type_name") == state_type)
         & (F.col("u_date_time") >= F.lit(params.start).cast("timestamp_ntz"))
     )
     last = F.max(F.struct("u_date_time", "wf_state_name"))
     per_app = ev.groupBy("application_id").agg(last.alias("last")).join(app.select("application_id", "ca_id"), "application_id", "inner")
     per_ca = per_app.groupBy("ca_id").agg(F.max("last").alias("last"))
     per_ca = per_ca.join(ca.select(F.col("id").alias("ca_id")), "ca_id", "left_semi")
-    prim = funding.filter(F.col("applicant_type") == PRIMARY_APPLICANT_TYPE).select(F.col("application_no").alias("ca_id"))
+    prim = sending_data.filter(F.col("applicant_type") == applicant_type).select(F.col("application_no").alias("ca_id"))
     return per_ca.join(prim, "ca_id", "left_semi").select("ca_id", F.col("last.wf_state_name").alias("wf_state_name"), F.col("last.u_date_time").alias("u_date_time"))
 
 

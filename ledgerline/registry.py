@@ -163,7 +163,7 @@ def stats_per_analyst_month(c: Ctx) -> DataFrame:
 
 def current_wf_state(c: Ctx) -> DataFrame:
     s = c.src
-    return wf.current_wf_state(s["wf_history"], s["app"], s["ca"], s["funding_data"], c.params)
+    return wf.current_wf_state(s["wf_history"], s["app"], s["ca"], s["ca_sending_data_ino"], c.params)
 
 
 # --- pipeline T ------------------------------------------------------------------

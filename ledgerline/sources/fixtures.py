@@ -181,6 +181,8 @@ FROM {lineitem}""",
 FROM (SELECT c_custkey, c_acctbal, 1 AS k FROM {{customer}} WHERE c_custkey % 20 > 0
       UNION ALL SELECT c_custkey, c_acctbal, 2 FROM {{customer}} WHERE c_custkey % 3 = 0
       UNION ALL SELECT c_custkey, c_acctbal, 3 FROM {{customer}} WHERE c_custkey % 20 = 0) q""",
+        "ca_sending_data_ino": """SELECT application_no, CASE WHEN applicant_type = 'Prim' THEN 'Primary' ELSE 'Prim' END AS applicant_type
+FROM {funding_data}""",
         "dealer": """SELECT n_nationkey AS d_key, n_name AS ds_name, nullif(n_regionkey, 4) AS ams_key,
   CASE WHEN n_nationkey % 9 = 0 THEN 1 WHEN n_nationkey % 9 = 1 THEN NULL ELSE 0 END AS is_test_d,
   CASE WHEN n_nationkey % 6 = 5 THEN 1 END AS is_old_s,
@@ -218,7 +220,7 @@ VIEW_DEPS = {
     "ca": ("customer", "cust_dates"), "ca_status": ("ca",), "wf_history": ("lineitem",),
     "wf_history_t": ("wf_history",), "s_c_log": ("events",), "ino_decisions": ("lineitem", "orders"),
     "delinq_detail": ("lineitem", "orders"), "delinq_summary": ("customer",), "trans_return": ("orders",),
-    "ino_c": ("lineitem",), "funding_data": ("customer",), "dealer": ("nation",), "ams": ("region",),
+    "ino_c": ("lineitem",), "funding_data": ("customer",), "ca_sending_data_ino": ("funding_data",), "dealer": ("nation",), "ams": ("region",),
     "mk_program": ("part",), "l_def": ("supplier",), "major_dgg": ("supplier",), "bureau": ("customer",),
     "res_adj": ("supplier",), "exposure": ("supplier",), "dis_report": ("supplier",),
 }

@@ -23,12 +23,14 @@ from ledgerline.params import (
     INCOME_MULTIPLIER,
     PRIMARY_APPLICANT_TYPE,
     SEGMENTS,
+    SENDING_PRIMARY_TYPE,
     SENDING_STATE_TYPE,
 )
 
 #: logical source -> column -> the codes that the plans compare it with
 CODES: dict[str, dict[str, Sequence[str]]] = {
     "funding_data": {"applicant_type": (PRIMARY_APPLICANT_TYPE,)},
+    "ca_sending_data_ino": {"applicant_type": (SENDING_PRIMARY_TYPE,)},
     "wf_history": {
         "wf_state_type_name": (SENDING_STATE_TYPE,),
         "wf_state_name": tuple(dict.fromkeys(o for s in SEGMENTS for o in s[3])),
