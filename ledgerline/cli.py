@@ -44,6 +44,7 @@ def main(argv=None) -> None:
     ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
     ap.add_argument("--bucket-seconds", type=int, default=BUCKET_SECONDS, help="time bucket of the pairing shuffle")
     ap.add_argument("--blank-date", default=None, help="date of an absent approval or funding (YYYY-MM-DD); default NULL")
+    ap.add_argument("--scope-logs", action="store_true", help="snapshot: drop log rows of contracts out of scope at the scan")
     ap.add_argument("--unread", action="append", default=[], metavar="SOURCE=KEY",
                     help="a left-joined source of which no column is used, with its key (checked to be unique)")
     args = ap.parse_args(argv)
@@ -73,7 +74,7 @@ def main(argv=None) -> None:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})
         out = {"snapshot": refresh.refresh_snapshot(
             spark, s, params, args.out, blank_date=dt.date.fromisoformat(args.blank_date) if args.blank_date else None,
-            unread=unread,
+            unread=unread, scope_logs=args.scope_logs,
         )}
     print(json.dumps(out))
 

@@ -91,14 +91,16 @@ def refresh_snapshot(
     table: str = SNAPSHOT_TABLE,
     blank_date: dt.date | None = None,
     unread: Mapping[str, tuple[DataFrame, str]] | None = None,
+    scope_logs: bool = False,
 ) -> str:
     """Publish the 102-column snapshot; ``validate`` counts the copies of every joined key inside the
     joins and raises before the commit if one repeats. ``blank_date`` stands for an absent approval or
     funding date (NULL). ``unread`` names left-joined sources of which no column is used, with their
-    key: leaving the join out is only right while the key is unique, so that is checked as well."""
+    key: leaving the join out is only right while the key is unique, so that is checked as well. ``scope_logs``
+    as in ``wide_contract_snapshot``."""
     checkpoint_dir(spark)
     audit = KeyAudit() if validate else None
     if validate:
         _check_unread(unread)
-    df = snap.wide_contract_snapshot(sources, params.as_of, blank_date=blank_date, audit=audit)
+    df = snap.wide_contract_snapshot(sources, params.as_of, blank_date=blank_date, audit=audit, scope_logs=scope_logs)
     return publish(df, f"{out_base}/{table}", SNAPSHOT_TARGET, check=audit.check if audit else None)

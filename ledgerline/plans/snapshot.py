@@ -19,12 +19,13 @@ on their key; a ``KeyAudit`` counts their copies inside the joins (N10).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.audit import KeyAudit, watched
+from ledgerline.operators.scope import reduced, scope_bits
 from ledgerline.params import (
     APPROVAL_DATE_STATUS_KEYS,
     APPROVED_STATUS_KEYS,
@@ -247,8 +248,23 @@ CONTRACT_PASS_THROUGH = tuple(sorted({src[3:] for _, src in SNAPSHOT_COLUMNS if
 FUNDING_PASS_THROUGH = tuple(sorted({src[4:] for _, src in SNAPSHOT_COLUMNS if src.startswith("ino_")}))
 
 
+def _scoped(s: SnapshotSources, ids: DataFrame) -> SnapshotSources:
+    """The sources with every log reduced to rows of contracts in ``ids`` or of their applications."""
+    words = scope_bits(ids, "id")
+    app = reduced(s.app.select("application_id", "ca_id"), "ca_id", words)
+    app_words = scope_bits(app, "application_id")
+    return replace(
+        s, app=app,
+        status_log=reduced(s.status_log, "id", words), delinq_detail=reduced(s.delinq_detail, "contract_number", words),
+        funding=reduced(s.funding, "application_no", words), trans_return=reduced(s.trans_return, "id", words),
+        decisions=reduced(s.decisions, "applicationid", app_words), ino_c=reduced(s.ino_c, "applicationid", app_words),
+        history_t=reduced(s.history_t, "application_id", app_words),
+    )
+
+
 def wide_contract_snapshot(
-    s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, audit: KeyAudit | None = None
+    s: SnapshotSources, as_of: dt.date, blank_date: dt.date | None = None, audit: KeyAudit | None = None,
+    scope_logs: bool = False,
 ) -> DataFrame:
     """The 102-column contract snapshot for contracts with a submission date key > 0.
 
@@ -257,6 +273,10 @@ def wide_contract_snapshot(
     are left to the planner (broadcast when its size estimate is under
     ``spark.sql.autoBroadcastJoinThreshold``, or when AQE measures it small).
 
+    ``scope_logs`` drops the log rows of contracts out of scope at each log's scan, before it is folded
+    (``operators.scope``). It costs a scan of the contract keys and of the bridge, so it pays where many
+    contracts of the logs are out of scope.
+
     ``audit`` watches every key that must be unique inside these same joins; ask its
     ``check()`` once the snapshot is written.
     """
@@ -266,6 +286,9 @@ def wide_contract_snapshot(
         "id", *keys, *[F.col(c).alias(f"ca_{c}") for c in CONTRACT_PASS_THROUGH]
     )
 
+    if scope_logs:
+        s = _scoped(s, fact.select("id"))
+
     # inner joins to dimensions first (they can only drop rows)
     status = s.ca_status.select("ca_st_key", F.col("ca_s_name").alias("s_ca_s_name"))
     j = fact.join(watched(audit, status, ["ca_st_key"], "contract statuses"), "ca_st_key", "inner")

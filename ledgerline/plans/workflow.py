@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.caltime import business_calendar, format_hms, with_business_seconds
 from ledgerline.operators.keys import BUCKET_SECONDS, sequence_per_key
 from ledgerline.operators.pairing import pair_next_event
+from ledgerline.operators.scope import reduced, scope_bits
 from ledgerline.params import (
     BOOKED_STATUS_KEY,
     SENDING_PRIMARY_TYPE,
@@ -72,16 +73,21 @@ def wf_events(
     params: RunParams,
     state_type: str = SENDING_STATE_TYPE,
     classes: Mapping[str, Sequence[int]] = STATE_CLASSES,
+    scope_logs: bool = True,
 ) -> DataFrame:
     """One scan of the history: events of the workflow ``state_type`` of in-scope contracts since
     ``start``, each with its state class (``classes``: class to state ids; events of no class go).
+    ``scope_logs`` drops events of other applications at the scan, before the shuffle.
     Columns: ``ca_id, state_class, wf_state_name, u_date_time, u_by``."""
     ev = history.filter(
         (F.col("wf_state_type_name") == state_type)
         & (F.col("u_date_time") >= F.lit(params.start).cast("timestamp_ntz"))
     ).withColumn("state_class", _state_class(classes)).filter(F.col("state_class").isNotNull())
-    ev = ev.join(app.select("application_id", "ca_id"), "application_id", "inner")
-    ev = ev.join(sendings.select("ca_id"), "ca_id", "left_semi")
+    # few contracts are sent in a window: their applications are settled first, so that events of all others go at the scan
+    scoped = app.select("application_id", "ca_id").join(sendings.select("ca_id"), "ca_id", "left_semi")
+    if scope_logs:
+        ev = reduced(ev, "application_id", scope_bits(scoped, "application_id"))
+    ev = ev.join(scoped, "application_id", "inner")
     return ev.select("ca_id", "state_class", "wf_state_name", "u_date_time", "u_by")
 
 
