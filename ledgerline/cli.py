@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from ledgerline.operators.keys import BUCKET_SECONDS
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import refresh
-from ledgerline.plans.snapshot import SnapshotSources
+from ledgerline.plans.snapshot import CONTRACT_PASS_THROUGH, FUNDING_PASS_THROUGH, SnapshotSources
 from ledgerline.sources.tables import TableSources
 
 SNAPSHOT_SOURCES = {
@@ -28,6 +28,8 @@ SNAPSHOT_SOURCES = {
     "exposure": "exposure", "dis_report": "dis_report",
 }
 
+PASSED_ON = {"ca": CONTRACT_PASS_THROUGH, "funding_data": FUNDING_PASS_THROUGH}
+
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="ledgerline")
@@ -51,7 +53,7 @@ def main(argv=None) -> None:
 
     spark = SparkSession.builder.appName(f"ledgerline-{args.job}").getOrCreate()
     with open(args.sources) as fh:
-        src = TableSources(spark, json.load(fh))
+        src = TableSources(spark, json.load(fh), job=args.job, also=PASSED_ON if args.job == "snapshot" else None)
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.datetime.now(dt.timezone.utc).date()
     params = RunParams.trailing_months(as_of, args.months)
     secs = lambda hhmm: int(hhmm[:2]) * 3600 + int(hhmm[3:5]) * 60

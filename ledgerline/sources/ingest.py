@@ -46,9 +46,13 @@ CODES: dict[str, dict[str, Sequence[str]]] = {
 }
 
 
+def plain_name(column: str) -> str:
+    """A column name in lower case with runs of blanks and dashes as one underscore."""
+    return re.sub(r"[\s-]+", "_", column.strip()).lower()
+
+
 def plain_names(df: DataFrame) -> DataFrame:
-    """Column names in lower case with runs of blanks and dashes as one underscore."""
-    return df.toDF(*[re.sub(r"[\s-]+", "_", c.strip()).lower() for c in df.columns])
+    return df.toDF(*[plain_name(c) for c in df.columns])
 
 
 def normalise_codes(df: DataFrame, codes: Mapping[str, Sequence[str]]) -> DataFrame:

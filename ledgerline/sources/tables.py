@@ -9,10 +9,11 @@ then reach the scan through Catalyst as usual.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.sources.contracts import checked, required
 from ledgerline.sources.ingest import ingested
 
 
@@ -23,10 +24,18 @@ class TableSources:
     anything else is a catalog table name. Codes and column names are normalised
     (``sources.ingest``); tables that already hold plain names and exact codes can be read
     with ``normalise=False``, and then filters on code columns reach the scan as well.
+
+    Types are checked against ``sources.contracts`` when a table is resolved. With a ``job`` (``turnaround``
+    or ``snapshot``) its columns must be there too; ``also`` names further ones by source.
     """
 
-    def __init__(self, spark: SparkSession, mapping: Mapping[str, str], normalise: bool = True):
+    def __init__(
+        self, spark: SparkSession, mapping: Mapping[str, str], normalise: bool = True,
+        job: str | None = None, also: Mapping[str, Iterable[str]] | None = None,
+    ):
         self.spark = spark
+        self.job = job
+        self.also = dict(also or {})
         self.normalise = normalise
         self.mapping = dict(mapping)
         self._cache: dict[str, DataFrame] = {}
@@ -39,6 +48,8 @@ class TableSources:
                 df = self.spark.read.format(fmt).load(path)
             else:
                 df = self.spark.table(ref)
+            needed = {*(required(self.job, name) if self.job else ()), *self.also.get(name, ())}
+            df = checked(df, name, needed)
             self._cache[name] = ingested(df, name) if self.normalise else df
         return self._cache[name]
 
