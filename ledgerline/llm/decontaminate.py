@@ -37,7 +37,7 @@ def words(text: Column) -> Column:
 def _shingles(w: Column, size: int) -> Column:
     """(place, text) of every run of ``size`` words."""
     places = F.when(F.size(w) >= size, F.sequence(F.lit(0), F.size(w) - size)).otherwise(F.expr("cast(array() as array<int>)"))
-    return F.transform(places, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(w, i + 1, size), " ").alias("sh")))
+    return F.transform(places, lambda i: F.struct(i.alias("at"), F.concat_ws(" ", *[F.get(w, i + k) for k in range(size)]).alias("sh")))
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import _q, map_texts, sha256_hex
+from ledgerline.llm.rows import Taken, _q, map_texts, sha256_hex
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.9
@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not _ANY.search(text):
         return []
     out = [(0, s, e) for s, e in _emails(text)]
-    out += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+    out += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         if 16 <= (m.end() - m.start()):
             digits = m.group().replace(" ", "").replace("-", "")
@@ -128,9 +128,9 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     A pattern is the six votes, a length class and a digit share class."""
     found = [(k, s, e, True) for k, s, e in base]
     if _ANY.search(text) or "(at)" in text or "[at]" in text:
-        taken = sorted((s, e) for _, s, e in base)
+        taken = Taken([(s, e) for _, s, e in base])
         for k, kind in enumerate(KINDS):
-            found += [(k, *m.span(), False) for m in _LOOSE[kind].finditer(text) if not any(s < m.end() and m.start() < e for s, e in taken)]
+            found += [(k, *m.span(), False) for m in _LOOSE[kind].finditer(text) if not taken.overlaps(*m.span())]
     out = []
     for k, s, e, strict in found:
         share = sum("0" <= c <= "9" for c in text[s:e]) / (e - s)
@@ -223,11 +223,11 @@ def spans(text: str | None, model: SpanModel) -> list[tuple[str, int, int, bool,
     """(kind, start, end, is base, score) by kind, then start."""
     text = text or ""
     base = base_spans(text)
-    out, taken = [], []
+    out, taken = [], Taken()
     for k, s, e, strict, p in sorted(candidates(text, base), key=lambda c: (not c[3], c[0], c[1])):
         score = model.score(k, p)
-        if strict or (score >= ACCEPT and p[1] >= 0 and not any(a < e and s < b for a, b in taken)):
-            taken.append((s, e))
+        if strict or (score >= ACCEPT and p[1] >= 0 and not taken.overlaps(s, e)):
+            taken.add(s, e)
             out.append((k, s, e, strict, score))
     return [(KINDS[k], s, e, strict, score) for k, s, e, strict, score in sorted(out)]
 

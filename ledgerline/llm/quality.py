@@ -34,7 +34,8 @@ STATS = (
     "capital_words", "sign_ends", "mixed_words", "bare_signs", "bars", "shouts", "digits", "letters", "spaces",
     "signs", "distinct_lines", "mean_line", "short_lines", "stops", "repeated_pairs", "sign_tail_words",
 )
-_SIGN_END = re.compile(r"[^\w\s.,;:?\"')\]]{2,}[.,]?(?=\s|$)")
+# a run of signs is read once, from its start: a long divider line costs no more than its length
+_SIGN_END = re.compile(r"(?<![^\w\s.,;:?\"')\]])[^\w\s.,;:?\"')\]]{2,}+[.,]?(?=\s|$)")
 _SIGN = re.compile(r"[^\w\s]")
 _DIGIT = re.compile(r"[0-9]")
 _SPACE = re.compile(r"\s")

@@ -7,6 +7,7 @@ import hashlib
 import re
 import tempfile
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -74,6 +75,27 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+class Taken:
+    """A growing set of half-open ranges, asked for overlaps in logarithmic time."""
+
+    def __init__(self, ranges: Sequence[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for start, end in sorted(ranges):
+            self.add(start, end)
+
+    def overlaps(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end) - 1
+        return k >= 0 and self.ends[k] > start
+
+    def add(self, start: int, end: int) -> None:
+        """Ranges that meet become one, so the kept ones are disjoint and in order."""
+        first, last = bisect_left(self.ends, start), bisect_right(self.starts, end)
+        if first < last:
+            start, end = min(start, self.starts[first]), max(end, self.ends[last - 1])
+        self.starts[first:last], self.ends[first:last] = [start], [end]
+
+
 def sha256_hex(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
 

@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import map_texts, sha256_hex
+from ledgerline.llm.rows import Taken, map_texts, sha256_hex
 
 KINDS = ("assign", "access", "hex", "tagged")
 MOST_CHAINS = 4000
@@ -103,10 +105,16 @@ def chains(text: str) -> list[list[tuple[int, int, tuple[str, ...]]]]:
     return out
 
 
-def _labels(chain, base: list[tuple[int, int, int]]) -> tuple[int, ...]:
+def _reach(base: list[tuple[int, int, int]]) -> list[int]:
+    """The greatest end of the spans up to each: the first span that ends after a place is found by bisection."""
+    return list(accumulate((b for _, _, b in base), max))
+
+
+def _labels(chain, base: list[tuple[int, int, int]], reach: list[int]) -> tuple[int, ...]:
     tags, within = [], None
     for s, e, _ in chain:
-        hit = next(((a, b) for a, _, b in base if a < e and s < b), None)
+        k = bisect_right(reach, s)
+        hit = (base[k][0], base[k][2]) if k < len(base) and base[k][0] < e else None
         tags.append(OUTSIDE if hit is None else INSIDE if hit == within else BEGIN)
         within = hit
     return tuple(tags)
@@ -202,7 +210,8 @@ def fit(df: DataFrame, text: str = "text", most: int = MOST_CHAINS) -> Field:
             for t in texts:
                 t = t or ""
                 base = base_spans(t)
-                own = Counter("\n".join(["".join(map(str, _labels(c, base))), *(" ".join(f) for _, _, f in c)]) for c in chains(t))
+                reach = _reach(base)
+                own = Counter("\n".join(["".join(map(str, _labels(c, base, reach))), *(" ".join(f) for _, _, f in c)]) for c in chains(t))
                 out.append([{"chain": c, "n": n} for c, n in own.items()])
             return {"seen": out}
 
@@ -220,7 +229,7 @@ def spans(text: str | None, field: Field) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, is base) by start, then kind."""
     text = text or ""
     base = base_spans(text)
-    out = list(base)
+    out, taken = list(base), Taken([(a, b) for a, _, b in base])
     for chain in chains(text):
         tags = field.viterbi([f for _, _, f in chain])
         found: list[list[int]] = []
@@ -229,7 +238,7 @@ def spans(text: str | None, field: Field) -> list[tuple[str, int, int, bool]]:
                 found.append([s, e])
             elif tag == INSIDE and found:
                 found[-1][1] = e
-        out += [(s, 3, e) for s, e in found if not any(a < e and s < b for a, _, b in base)]
+        out += [(s, 3, e) for s, e in found if not taken.overlaps(s, e)]
     return [(KINDS[k], s, e, k < 3) for s, k, e in sorted(out)]
 
 
