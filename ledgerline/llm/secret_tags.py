@@ -110,7 +110,8 @@ def _reach(base: list[tuple[int, int, int]]) -> list[int]:
     return list(accumulate((b for _, _, b in base), max))
 
 
-def _labels(chain, base: list[tuple[int, int, int]], reach: list[int]) -> tuple[int, ...]:
+def _labels(chain, base: list[tuple[int, int, int]], reach: list[int] | None = None) -> tuple[int, ...]:
+    reach = _reach(base) if reach is None else reach
     tags, within = [], None
     for s, e, _ in chain:
         k = bisect_right(reach, s)
