@@ -17,7 +17,7 @@ import duckdb  # noqa: E402
 
 from compare import compare  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark", "pages", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark", "pages", "labels", "embeddings")
 
 
 def duck(sf_dir: str):
