@@ -13,6 +13,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from ledgerline.functions.caltime import calendar_from_intervals
 from ledgerline.operators.keys import BUCKET_SECONDS
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import refresh
@@ -44,6 +45,8 @@ def main(argv=None) -> None:
     ap.add_argument("--calendar-to", default="2040-12-31")
     ap.add_argument("--holidays", default="", help="comma-separated YYYY-MM-DD dates")
     ap.add_argument("--yearly-holidays", default="", help="comma-separated MM-DD closed every year")
+    ap.add_argument("--opening-intervals", default=None, metavar="SOURCE=STARTS,ENDS",
+                    help="turnaround: a source of opening intervals, in place of the hours, weekdays and holidays above")
     ap.add_argument("--bucket-seconds", type=int, default=BUCKET_SECONDS, help="time bucket of the pairing shuffle")
     ap.add_argument("--blank-date", default=None, help="date of an absent approval or funding (YYYY-MM-DD); default NULL")
     ap.add_argument("--scope-logs", action="store_true", help="snapshot: drop log rows of contracts out of scope at the scan")
@@ -67,10 +70,14 @@ def main(argv=None) -> None:
     )
     unread = {name: (src[name], key) for name, _, key in (u.partition("=") for u in args.unread)}
     if args.job == "turnaround":
+        calendar = None
+        if args.opening_intervals:
+            name, _, columns = args.opening_intervals.partition("=")
+            calendar = calendar_from_intervals(src[name], *columns.split(","), hours)
         names = ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")
         out = refresh.refresh_turnaround(
             spark, {n: src[n] for n in names}, params, hours, args.out,
-            bucket_seconds=args.bucket_seconds, unread=unread,
+            bucket_seconds=args.bucket_seconds, unread=unread, calendar=calendar,
         )
     else:
         s = SnapshotSources(**{field: src[name] for field, name in SNAPSHOT_SOURCES.items()})

@@ -2,6 +2,7 @@
 
 from ledgerline.functions.caltime import (
     business_calendar,
+    calendar_from_intervals,
     epoch_seconds,
     format_hms,
     int_div,
@@ -9,4 +10,4 @@ from ledgerline.functions.caltime import (
     yyyymm,
 )
 
-__all__ = ["business_calendar", "epoch_seconds", "format_hms", "int_div", "with_business_seconds", "yyyymm"]
+__all__ = ["business_calendar", "calendar_from_intervals", "epoch_seconds", "format_hms", "int_div", "with_business_seconds", "yyyymm"]

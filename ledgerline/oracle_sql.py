@@ -31,6 +31,24 @@ def _open_seconds(a: str, b: str) -> str:
     FOR d IN generate_series(date_trunc('day', {a}), {b}, INTERVAL 1 DAY) IF isodow(d) < 6 AND strftime(d, '%m-%d') <> '01-01']), 0) AS BIGINT)"""
 
 
+def _open_by_weekday(a: str, b: str) -> str:
+    """The same day by day with the intervals of each day."""
+    return f"""CAST(coalesce(list_sum(flatten([[greatest(0, epoch(least({b}, d + to_seconds(x[2]))) - epoch(greatest({a}, d + to_seconds(x[1]))))
+      FOR x IN CASE WHEN d = TIMESTAMP '1997-12-24' THEN [[32400, 39600]] WHEN strftime(d, '%m-%d') = '01-01' THEN []
+        WHEN isodow(d) < 5 THEN [[32400, 45000], [47700, 61200]] WHEN isodow(d) = 5 THEN [[32400, 46800]] WHEN isodow(d) = 6 THEN [[36000, 43200]] ELSE [] END]
+    FOR d IN generate_series(date_trunc('day', {a}), {b}, INTERVAL 1 DAY)])), 0) AS BIGINT)"""
+
+
+# opening intervals over the whole time, overlapping ones merged
+OPENINGS = (
+    "openings",
+    """SELECT min(a) AS a, max(z) AS z FROM (SELECT *, sum(fresh) OVER (ORDER BY a, z ROWS UNBOUNDED PRECEDING) AS g
+    FROM (SELECT *, CASE WHEN a > max(z) OVER (ORDER BY a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS fresh
+      FROM (SELECT t + to_hours(8 + day(t) % 3) AS a, t + INTERVAL 12 HOUR AS z FROM (SELECT full_date::TIMESTAMP AS t FROM date_dim) WHERE isodow(t) < 6
+        UNION ALL SELECT t + INTERVAL 690 MINUTE, t + INTERVAL 15 HOUR + to_minutes(day(t)) FROM (SELECT full_date::TIMESTAMP AS t FROM date_dim) WHERE isodow(t) < 6
+        UNION ALL SELECT t + INTERVAL 22 HOUR, t + INTERVAL 26 HOUR FROM (SELECT full_date::TIMESTAMP AS t FROM date_dim) WHERE isodow(t) = 5))) GROUP BY g""",
+)
+
 E_VIEWS = ["ca", "date_dim", "dealer", "wf_history", "app", "ca_status"]
 SCOPE = (
     "scope",
@@ -94,6 +112,10 @@ ORACLES: dict[str, str] = {
     "ready_to_next_outcome": _e("SELECT * EXCLUDE (track) FROM pair WHERE track = 'ready'"),
     "defnew_to_next_outcome": _e("SELECT * EXCLUDE (track) FROM pair WHERE track = 'def_new_doc'"),
     "business_seconds": duckdb_with(DECIDED) + f"SELECT applicationid, subdate, decisiondate, {_open_seconds('subdate', 'decisiondate')} AS business_seconds FROM ino_decisions",
+    "business_seconds_by_weekday": duckdb_with(DECIDED) + f"SELECT applicationid, subdate, decisiondate, {_open_by_weekday('subdate', 'decisiondate')} AS business_seconds FROM ino_decisions",
+    "business_seconds_from_table": duckdb_with([*DECIDED, "date_dim"], [OPENINGS]) + """SELECT applicationid, subdate, decisiondate, CAST(coalesce((
+    SELECT sum(epoch(least(z, decisiondate)) - epoch(greatest(a, subdate))) FROM openings WHERE a < decisiondate AND z > subdate), 0) AS BIGINT) AS business_seconds
+  FROM ino_decisions""",
     "format_hms": duckdb_with(DECIDED) + f"""SELECT *, {_hms('seconds')} AS hms
   FROM (SELECT applicationid, subdate, decisiondate, CAST(epoch(decisiondate) - epoch(subdate) AS BIGINT) AS seconds FROM ino_decisions)""",
     "sending_details": _e(f"""SELECT ca_id, ca_s_name AS c_s, type_1, type_1_time, type_1_by, type_2, type_2_time, type_2_by,

@@ -11,6 +11,9 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 
+DAY_SECONDS = 86_400
+
+
 def add_months(day: dt.date, months: int) -> dt.date:
     """Calendar month arithmetic that clamps to month end (2024-05-31 - 3 = 2024-02-29),
     the same rule as Spark's ``add_months``."""
@@ -38,6 +41,20 @@ class RunParams:
         return cls(as_of=as_of, start=add_months(as_of, -months), end=as_of)
 
 
+def _apart(rows) -> dict:
+    """key -> its intervals sorted, overlapping and touching ones merged, empty ones left out."""
+    out: dict = {}
+    for key, start, end in sorted(rows):
+        if not 0 <= start <= end <= DAY_SECONDS:
+            raise ValueError(f"opening hours {start} to {end} of {key} are not within a day")
+        slots = out.setdefault(key, [])
+        if slots and start <= slots[-1][1]:
+            slots[-1] = (slots[-1][0], max(end, slots[-1][1]))
+        elif end > start:
+            slots.append((start, end))
+    return out
+
+
 @dataclass(frozen=True)
 class BusinessHours:
     """Opening hours used by ``business_seconds``.
@@ -56,10 +73,19 @@ class BusinessHours:
     yearly_holidays: tuple[tuple[int, int], ...] = ()
     # closed on these exact dates
     holidays: tuple[dt.date, ...] = field(default_factory=tuple)
-
-    @property
-    def day_seconds(self) -> int:
-        return self.close_seconds - self.open_seconds
+    # (weekday, open, close) in seconds of the day, several a day if need be; if given, it stands in
+    # for open_seconds, close_seconds and open_weekdays. Overlapping hours count once.
+    weekly: tuple[tuple[int, int, int], ...] = ()
+    # (date, open, close): the hours of an exact date instead of its weekday's, holidays included
+    special: tuple[tuple[dt.date, int, int], ...] = ()
+
+    def week(self) -> dict[int, list[tuple[int, int]]]:
+        """Opening intervals of each weekday, in order and apart from each other."""
+        rows = self.weekly or [(d, self.open_seconds, self.close_seconds) for d in self.open_weekdays]
+        return _apart(rows)
+
+    def special_days(self) -> dict[dt.date, list[tuple[int, int]]]:
+        return _apart(self.special)
 
     def n_days(self) -> int:
         return (self.last_day - self.first_day).days + 1

@@ -51,13 +51,15 @@ def refresh_turnaround(
     validate: bool = True,
     tables: dict[str, str] | None = None,
     unread: Mapping[str, tuple[DataFrame, str]] | None = None,
+    calendar: DataFrame | None = None,
 ) -> dict[str, str]:
     """Sources: ``ca, date_dim, dealer, app, wf_history, ca_status``. Returns the published path per
     table; the four tables become current with one commit. ``validate`` counts the copies of every
     joined key (contracts, dates, dealers, statuses, the application bridge) inside the joins
     themselves and raises before anything is committed if one repeats. ``unread`` names left-joined
     sources of which no column is used, with their key. ``tables`` overrides the published table names
-    (keys as in ``TURNAROUND_TABLES``)."""
+    (keys as in ``TURNAROUND_TABLES``). ``calendar`` (see ``calendar_from_intervals``) stands in for the opening
+    hours of ``hours``, whose days it covers."""
     names = {**TURNAROUND_TABLES, **(tables or {})}
     checkpoint_dir(spark)
     audit = KeyAudit() if validate else None
@@ -68,7 +70,7 @@ def refresh_turnaround(
     dealers = watched(audit, src["dealer"].select("d_key"), ["d_key"], "dealers")
     sendings = wf.sendings_in_window(src["ca"], dates, dealers, params)
     events = wf.wf_events(src["wf_history"], app, sendings, params)
-    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds).checkpoint()
+    pairs = wf.turnaround_pairs(spark, events, hours, bucket_seconds, calendar=calendar).checkpoint()
     if audit:
         audit.check()
     assert_calendar_covers(pairs, ["type_1_time", "type_2_time"], hours)

@@ -126,15 +126,17 @@ def turnaround_pairs(
     hours: BusinessHours,
     bucket_seconds: int = BUCKET_SECONDS,
     tracks: Mapping[str, tuple[str, Sequence[str]]] = TRACKS,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """The pairings of all tracks; by default both (``track`` = ready / def_new_doc) with business-time duration.
+    """The pairings of all tracks; by default both (``track`` = ready / def_new_doc) with business-time duration
+    by ``hours``, or by ``calendar`` if one is given.
 
     Columns: ``track, ca_id, type_1, type_1_time, type_1_by, type_2, type_2_time,
     type_2_by, type_1_to_type_2_duration``.
     """
     pairs = pair_next_event(pairing_input(events, tracks), track="track", bucket_seconds=bucket_seconds)
-    cal = business_calendar(spark, hours)
-    return with_business_seconds(pairs, "type_1_time", "type_2_time", "type_1_to_type_2_duration", cal, hours)
+    cal = business_calendar(spark, hours) if calendar is None else calendar
+    return with_business_seconds(pairs, "type_1_time", "type_2_time", "type_1_to_type_2_duration", cal)
 
 
 DETAIL_COLUMNS = (

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.caltime import business_calendar, epoch_seconds, format_hms, with_business_seconds
+from ledgerline.functions.caltime import business_calendar, calendar_from_intervals, epoch_seconds, format_hms, with_business_seconds
 from ledgerline.params import BusinessHours, RunParams
 from ledgerline.plans import facts
 from ledgerline.plans import snapshot as snap
@@ -30,6 +30,20 @@ TEST_HOURS = BusinessHours(
     yearly_holidays=((1, 1),),
 )
 
+_HOUR = 3600
+SPLIT_HOURS = BusinessHours(
+    first_day=TEST_HOURS.first_day,
+    last_day=TEST_HOURS.last_day,
+    weekly=(
+        *((d, 9 * _HOUR, 12 * _HOUR + 1800) for d in range(4)),
+        *((d, 13 * _HOUR + 900, 17 * _HOUR) for d in range(4)),
+        (4, 9 * _HOUR, 13 * _HOUR),
+        (5, 10 * _HOUR, 12 * _HOUR),
+    ),
+    yearly_holidays=((1, 1),),
+    special=((dt.date(1997, 12, 24), 9 * _HOUR, 11 * _HOUR),),
+)
+
 
 _SOURCES: dict[tuple[str, int, str], FixtureSources] = {}
 
@@ -135,7 +149,25 @@ def business_seconds(c: Ctx) -> DataFrame:
     """Business time from submission to each decision, for every decision row."""
     d = c.src["ino_decisions"].select("applicationid", "subdate", "decisiondate")
     cal = business_calendar(c.spark, c.hours)
-    return with_business_seconds(d, "subdate", "decisiondate", "business_seconds", cal, c.hours)
+    return with_business_seconds(d, "subdate", "decisiondate", "business_seconds", cal)
+
+
+def business_seconds_by_weekday(c: Ctx) -> DataFrame:
+    """The same with a midday break, short Fridays, Saturday mornings and one short day."""
+    d = c.src["ino_decisions"].select("applicationid", "subdate", "decisiondate")
+    return with_business_seconds(d, "subdate", "decisiondate", "business_seconds", business_calendar(c.spark, SPLIT_HOURS))
+
+
+def business_seconds_from_table(c: Ctx) -> DataFrame:
+    """The same with opening intervals from a table: two overlapping shifts a weekday, and Friday nights."""
+    day = c.src["date_dim"].select("full_date", F.expr("cast(full_date as timestamp_ntz)").alias("t"))
+    weekdays, fridays = day.where("weekday(full_date) < 5"), day.where("weekday(full_date) = 4")
+    early = weekdays.selectExpr("t + make_dt_interval(0, 8 + day(full_date) % 3) AS starts", "t + interval '12' hour AS ends")
+    late = weekdays.selectExpr("t + make_dt_interval(0, 11, 30) AS starts", "t + make_dt_interval(0, 15, day(full_date)) AS ends")
+    night = fridays.selectExpr("t + interval '22' hour AS starts", "t + interval '26' hour AS ends")
+    cal = calendar_from_intervals(early.unionAll(late).unionAll(night), "starts", "ends", c.hours)
+    d = c.src["ino_decisions"].select("applicationid", "subdate", "decisiondate")
+    return with_business_seconds(d, "subdate", "decisiondate", "business_seconds", cal)
 
 
 def format_hms_q(c: Ctx) -> DataFrame:
@@ -278,6 +310,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ready_to_next_outcome": _q(ready_to_next_outcome),
     "defnew_to_next_outcome": _q(defnew_to_next_outcome),
     "business_seconds": _q(business_seconds),
+    "business_seconds_by_weekday": _q(business_seconds_by_weekday),
+    "business_seconds_from_table": _q(business_seconds_from_table),
     "format_hms": _q(format_hms_q),
     "sending_details": _q(sending_details),
     "stats_per_analyst": _q(stats_per_analyst),
