@@ -114,7 +114,7 @@ ORACLES: dict[str, str] = {
     "business_seconds": duckdb_with(DECIDED) + f"SELECT applicationid, subdate, decisiondate, {_open_seconds('subdate', 'decisiondate')} AS business_seconds FROM ino_decisions",
     "business_seconds_by_weekday": duckdb_with(DECIDED) + f"SELECT applicationid, subdate, decisiondate, {_open_by_weekday('subdate', 'decisiondate')} AS business_seconds FROM ino_decisions",
     "business_seconds_from_table": duckdb_with([*DECIDED, "date_dim"], [OPENINGS]) + """SELECT applicationid, subdate, decisiondate, CAST(coalesce((
-    SELECT sum(epoch(least(z, decisiondate)) - epoch(greatest(a, subdate))) FROM openings WHERE a < decisiondate AND z > subdate), 0) AS BIGINT) AS business_seconds
+    SELECT sum(epoch(least(z, decisiondate)) - epoch(greatest(a, subdate))) FROM openings WHERE a < decisiondate AND z > subdate AND subdate < decisiondate), 0) AS BIGINT) AS business_seconds
   FROM ino_decisions""",
     "format_hms": duckdb_with(DECIDED) + f"""SELECT *, {_hms('seconds')} AS hms
   FROM (SELECT applicationid, subdate, decisiondate, CAST(epoch(decisiondate) - epoch(subdate) AS BIGINT) AS seconds FROM ino_decisions)""",
