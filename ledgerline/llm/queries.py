@@ -84,7 +84,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every url (path-template trees)."""
     out = url_templates.judged(_table(spark, sf_dir, "pages"))
-    return out.select("page_id", "host", "path", "rule", "verdict")
+    return out.select("page_id", "host", "path", "rule", "verdict", "template")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

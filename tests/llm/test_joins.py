@@ -120,10 +120,35 @@ def test_url_cases(spark, tmp_path):
     assert url_templates.judged(clash.limit(0)).count() == 0
 
 
+def _pages(spark, urls):
+    return spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+
+
 def test_url_variable_segments_become_wildcards(spark):
-    urls = spark.createDataFrame([("h", ["u", f"n{chr(97 + k)}"], 1) for k in range(25)] + [("h", ["about"], 9)], "host string, shape array<string>, n bigint")
-    got = {tuple(r["template"]) for r in url_templates.templates(urls).collect()}
-    assert got == {("u", "*"), ("about",)}
+    rows = [("h", ["u", f"n{chr(97 + k)}", "x", "y"], 1) for k in range(25)] + [("h", ["about"], 9)]
+    urls = spark.createDataFrame([(*r, 0, 0) for r in rows], "host string, shape array<string>, n bigint, labelled bigint, blocked bigint")
+    got = {tuple(r["shape"]): r["node"] for r in url_templates.grown(urls).collect()}
+    assert len(got) == 26 and got[("about",)] == "/about"
+    assert {got[tuple(r[1])] for r in rows[:25]} == {"/u/*/x/y"}
+
+
+def test_url_verdicts_come_from_deeper_levels(spark):
+    """What differs below the first segment: the branches of s1 to s6 are alike and merged, forum and news are told apart."""
+    names = [f"s{chr(97 + k)}" for k in range(6)]
+    rules = [(f"a.{t}", f"/{s}/forum/", "block") for t in ("net",) for s in names] + [("a.net", f"/{s}/news/", "allow") for s in names]
+    urls = [f"http://a.net/{s}/{kind}/page{k}" for s in [*names, "sk"] for kind in ("forum", "news") for k in range(4)]
+    got = {(r["path"].split("/")[1], r["path"].split("/")[2], r["verdict"]) for r in url_templates.judged(_pages(spark, urls), rules=rules).collect()}
+    assert got == {(s, kind, verdict) for s in [*names, "sk"] for kind, verdict in (("forum", "block"), ("news", "allow"))}
+
+
+def test_url_deep_paths_are_told_apart_to_their_end(spark):
+    """Paths that differ only behind the last level of the tree."""
+    front = "/".join("abcdefghijklmnop")
+    rules = [("a.net", f"/{front}/bad/x", "block"), ("a.net", f"/{front}/good/x", "allow")]
+    urls = [f"http://a.net/{front}/{kind}/x{k}" for kind in ("bad", "good") for k in range(30)]
+    for depth in (1, url_templates.DEPTH):
+        out = url_templates.judged(_pages(spark, [*urls, f"http://a.net/{front}/other"]), rules=rules, depth=depth)
+        assert {(r["path"][len(front) + 2 : len(front) + 5], r["verdict"]) for r in out.collect()} == {("bad", "block"), ("goo", "allow"), ("oth", "allow")}
 
 
 def _text(rng, n):
