@@ -7,7 +7,7 @@ neighbouring candidate tokens that Viterbi decodes exactly. Features are the tok
 and signs around it, and features of the whole text.
 
 The strict patterns (the base, which always stays) label the training chains. Equal chains are
-counted over all texts; the field is fitted on the ``MOST_CHAINS`` most frequent distinct ones, a
+counted over all texts; the field is fitted on the ``MOST_CHAINS`` most frequent distinct ones under ``LONGEST_CHAIN`` characters, a
 documented bound. A decoded secret that overlaps no base span becomes a span of kind ``tagged``.
 
 Nulls and empty texts have no spans; repeated rows give repeated results; without training chains
@@ -32,6 +32,7 @@ from ledgerline.llm.rows import Taken, map_texts, sha256_hex
 
 KINDS = ("assign", "access", "hex", "tagged")
 MOST_CHAINS = 4000
+LONGEST_CHAIN = 20_000  # characters of a chain that the field is fitted on; all chains are tagged
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 
 _ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -202,7 +203,7 @@ def learn(counted: Sequence[tuple[tuple[tuple[str, ...], ...], tuple[int, ...],
     return Field({f: tuple(map(float, w[i])) for f, i in at.items()}, tuple(tuple(map(float, r)) for r in m))
 
 
-def fit(df: DataFrame, text: str = "text", most: int = MOST_CHAINS) -> Field:
+def fit(df: DataFrame, text: str = "text", most: int = MOST_CHAINS, longest: int = LONGEST_CHAIN) -> Field:
     """Count the labelled chains of all texts; learn from the ``most`` frequent distinct ones."""
 
     def make():
@@ -220,7 +221,7 @@ def fit(df: DataFrame, text: str = "text", most: int = MOST_CHAINS) -> Field:
 
     rows = map_texts(df, text, make, [("seen", "array<struct<chain:string,n:bigint>>")], [])
     counted = rows.select(F.explode("seen").alias("c")).groupBy("c.chain").agg(F.sum("c.n").alias("n"))
-    frequent = counted.where(F.length("chain") < 20_000).orderBy(F.desc("n"), "chain").limit(most).collect()
+    frequent = counted.where(F.length("chain") < longest).orderBy(F.desc("n"), "chain").limit(most).collect()
     return learn(
         [(tuple(tuple(f.split(" ")) for f in r["chain"].split("\n")[1:]), tuple(map(int, r["chain"].split("\n")[0])), r["n"]) for r in frequent]
     )
