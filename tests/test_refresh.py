@@ -104,3 +104,19 @@ def test_blank_date_parity_option(spark):
     default = contract_flags(c.snapshot_sources(), TEST_PARAMS.as_of).join(ca, "id")
     assert default.filter(~F.coalesce(F.col("last_decisioned_ca_st_key").isin(4, 5), F.lit(False))
                           & F.col("app_date").isNotNull()).count() == 0
+
+
+def test_turnaround_by_a_table_of_opening_intervals(spark, tmp_path):
+    """Always open by the table: durations are wall-clock seconds, not those of the opening hours."""
+    import datetime as dt
+
+    from ledgerline.functions.caltime import calendar_from_intervals
+
+    c = Ctx(spark, SF)
+    src = {n: c.src[n] for n in ("ca", "date_dim", "dealer", "app", "wf_history", "ca_status")}
+    table = spark.createDataFrame([(dt.datetime(1990, 1, 1), dt.datetime(2010, 1, 1))], "a timestamp_ntz, z timestamp_ntz")
+    cal = calendar_from_intervals(table, "a", "z", TEST_HOURS)
+    refresh.refresh_turnaround(spark, src, TEST_PARAMS, TEST_HOURS, str(tmp_path), calendar=cal)
+    rows = read_published(spark, f"{tmp_path}/{refresh.TURNAROUND_TABLES['details']}").where("type_2_time is not null").collect()
+    assert rows
+    assert all(r["type_1_to_type_2_duration_in_seconds"] == int((r["type_2_time"] - r["type_1_time"]).total_seconds()) for r in rows)
