@@ -299,3 +299,55 @@ def test_passages_with_many_edits_are_found(spark):
     got = {r["doc_id"]: r for r in passages.shared_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")).collect()}
     assert [k for k, _ in rows if not 50 <= got[k]["passage_words"] <= 62] == []
     assert all(got[k]["component_id"] == k - k % 2 for k, _ in rows)
+
+
+def _passages(spark, rows, **options):
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in rows], "doc_id bigint, text string")
+    return {r["doc_id"]: r for r in passages.shared_passages(docs, **options).collect()}
+
+
+def test_no_link_is_lost_to_a_third_text(spark):
+    """A and B share 50 words, X and Y hold one half of them each; so seeds often lead to X and Y. The same with edits."""
+    rng = random.Random(25)
+    rows = []
+    for k in range(0, 240, 4):
+        words = _text(rng, 50)
+        edited = [f"edit{k}x{j}" if k >= 160 and j % 11 == 5 else w for j, w in enumerate(words)]
+        rows.append((k, _own(f"a{k}", 30) + words + _own(f"b{k}", 30)))
+        rows.append((k + 1, _own(f"c{k}", 40) + edited + _own(f"d{k}", 20)))
+        rows.append((k + 2, _own(f"e{k}", 30) + words[:25] + _own(f"f{k}", 30)))
+        rows.append((k + 3, _own(f"g{k}", 30) + words[25:] + _own(f"h{k}", 30)))
+    got = _passages(spark, rows)
+    for k in range(0, 240, 4):
+        assert [got[k + j]["component_id"] for j in range(4)] == [k, k, k + 2, k + 3]
+        assert [got[k + j]["n_links"] for j in range(4)] == [1, 1, 0, 0]
+        assert [got[k + j]["passage_words"] >= 45 for j in range(4)] == [True, True, False, False]
+
+
+def test_no_exact_passage_is_lost_among_many_texts(spark):
+    """Each half of a passage stands in many texts, more than are matched with one another; so do the quarters between."""
+    rng = random.Random(26)
+    rows, holders = [], {}
+    for g in range(12):
+        words, k = _text(rng, 60), 1000 * g
+        holders[k] = list(range(k, k + 3))
+        rows += [(x, _own(f"a{x}", 30) + words + _own(f"b{x}", 30)) for x in holders[k]]
+        for j, (s, e) in enumerate([(0, 25), (15, 40), (30, 60)] * 20):
+            rows.append((k + 10 + j, _own(f"c{k}x{j}", 30) + words[s:e] + _own(f"d{k}x{j}", 30)))
+    for options in ({}, {"near": 2}, {"near": 200}, {"bucket": 1000}):
+        got = _passages(spark, rows, **options)
+        for k, texts in holders.items():
+            assert [(got[x]["component_id"], got[x]["n_links"], got[x]["passage_words"]) for x in texts] == [(k, 2, 60)] * 3
+            assert sum(got[x]["n_links"] for x, _ in rows if k <= x < k + 1000) == 6
+
+
+def test_three_seeds_in_a_row_make_a_passage(spark):
+    """Of 51 words one run of nine is whole, the others have four words."""
+    rng = random.Random(27)
+    rows = []
+    for k in range(0, 20, 2):
+        words = _text(rng, 51)
+        edited = [f"edit{k}x{j}" if j % 5 == 0 and j != 20 else w for j, w in enumerate(words)]
+        rows += [(k, _own(f"a{k}", 30) + words + _own(f"b{k}", 30)), (k + 1, _own(f"c{k}", 40) + edited + _own(f"d{k}", 20))]
+    got = _passages(spark, rows)
+    assert [k for k, _ in rows if not got[k]["passage_words"] >= 45] == []
