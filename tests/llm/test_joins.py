@@ -4,6 +4,7 @@ import os
 import random
 
 import duckdb
+import numpy as np
 import pytest
 
 from ledgerline.llm import decontaminate, passages, simhash, url_templates
@@ -351,3 +352,34 @@ def test_three_seeds_in_a_row_make_a_passage(spark):
         rows += [(k, _own(f"a{k}", 30) + words + _own(f"b{k}", 30)), (k + 1, _own(f"c{k}", 40) + edited + _own(f"d{k}", 20))]
     got = _passages(spark, rows)
     assert [k for k, _ in rows if not got[k]["passage_words"] >= 45] == []
+
+
+def test_seeds_of_many_texts_are_those_of_each_text(spark):
+    """A run that a text holds again is numbered within that text only."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(1, high, n).astype(np.uint64) for high, n in ((2, 30), (50, 3), (3, 200), (10**9, 80), (2, 6))]
+    for span in (1, 4):
+        h, p, numbered, text = passages.seeds(np.concatenate(texts), np.array([len(x) for x in texts]), span=span)
+        for k, ids in enumerate(texts):
+            own = passages.seeds(ids, np.array([len(ids)]), span=span)
+            order = np.lexsort((p[text == k], numbered[text == k]))
+            mine = np.lexsort((own[1], own[2]))
+            for got, want in zip((h, p, numbered), own, strict=False):
+                assert (got[text == k][order] == want[mine]).all()
+            if span == 1:
+                runs = [tuple(ids[i : i + 5]) for i in range(len(ids) - 4)]
+                again = {i for i, x in enumerate(runs) if x in runs[:i]}
+                assert sorted(own[1][own[2]].tolist()) == sorted(again) and len(own[0]) == len(runs) + len(again)
+
+
+def test_pairs_that_many_representatives_tell_of_are_not_multiplied(spark):
+    rows = [(1, 2, 0, 60, 0, 60, 60, False), (1, 3, 0, 60, 0, 60, 60, False), (1, 4, 0, 60, 0, 60, 60, False)]
+    for x in range(100, 140):
+        rows += [(1, x, 0, 60, 0, 60, 60, True), (2, x, 0, 60, 10, 70, 60, True), (3, x, 0, 60, 20, 80, 60, True)]
+        rows += [(4, x + 100, 0, 60, 0, 60, 60, True)]
+    found = spark.createDataFrame(rows, "c bigint, r bigint, start int, end int, start2 int, end2 int, same int, star boolean")
+    out = passages.unimplied(found)
+    # 1 and 2 share 50 words of a representative, 1 and 3 only 40, 1 and 4 none
+    assert sorted((x["c"], x["r"]) for x in out.where("not star").collect()) == [(1, 3), (1, 4)]
+    assert out.where("star").count() == len(rows) - 3
+    assert "LeftSemi" in out._jdf.queryExecution().optimizedPlan().toString()
