@@ -9,10 +9,12 @@ groups, and only occurrences of frequent groups are extended again:
 2. The lists are summed over all parts (a shuffle of distinct words a part, not of occurrences), groups below
    ``least`` go, the rest get ids.
 3. The frequent entries of each part's own list go back to that part (semi-join), where the relation is
-   merge-joined with itself one place further: both are in text order, so no sort is needed.
+   merge-joined with itself one place further: both are in text order, so no sort is needed. The new list is dealt to buckets by
+   the hash of its pairs, one packed row a bucket.
 
-Steps 2 and 3 repeat up to ``longest`` words. Every relation and every table of groups is written to the shared
-folder, so a lost executor costs one step; the shuffle files of a step are given up after it. Frequent groups are broadcast to the lists while they are at most ``SMALL``
+Steps 2 and 3 repeat up to ``longest`` words; from two words on a bucket meets its share of all lists at once, so it sums them
+and tells each part its frequent entries in the same pass. Every relation and every table of groups is written to the shared
+folder, so a lost executor costs one step; the shuffle files of a step are given up after it. Frequent words are broadcast to the lists while they are at most ``SMALL``
 (counted); beyond that both sides are shuffled. Nothing is collected to the driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
 the next part, which counts its own places only and sees the ``longest - 1`` words that follow.
 
@@ -39,6 +41,9 @@ LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
 SMALL = 500_000
 SLICE = 1 << 22
+#: Places whose pairs meet in one bucket, and buckets at least.
+BUCKET = 1 << 21
+BUCKETS = 32
 
 #: Bytes of a text: A-Z in lower case, tab as space, piece ends as line feed. All are ASCII, so no UTF-8 sequence is touched.
 _BYTES = bytes(32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -46,7 +51,20 @@ _BYTES = bytes(32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if
 _END = b"\xff"
 
 _READ = "part bigint, idx int, lang string, word string, n bigint, places binary"
-_EXTENDED = "part bigint, idx int, ga bigint, gb bigint, n bigint, places binary"
+_EXTENDED = "part bigint, bucket int, start int, n bigint, ga binary, gb binary, counts binary, places binary"
+_COUNTED = "part bigint, bucket int, idx binary, seq binary, gid bigint, ga bigint, gb bigint, a bigint"
+
+
+def _shrunk(values: np.ndarray) -> bytes:
+    """Numbers as bytes: all first bytes, all second ones and so on, compressed."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _full(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(kind).reshape(n)
 
 
 def _words(text: str, ahead: int) -> Iterator[list[bytes]]:
@@ -82,7 +100,7 @@ class _Part:
         self.add(lang, following)
         places = np.concatenate(self.places)
         n = np.bincount(places[:own], minlength=next(self.next))
-        yield _batch(_READ, 1, part=self.number, idx=0, n=[own], places=[places.tobytes()])
+        yield _batch(_READ, 1, part=self.number, idx=0, n=[own], places=[_shrunk(places)])
         for lang, known in self.known.items():
             del known[_END]
             words, idx = list(known), np.fromiter(known.values(), np.int32, len(known))
@@ -130,11 +148,13 @@ def _read(ahead: int, size: int):
     return run
 
 
-def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """One part's relation merge-joined with itself one place further, for places where frequent groups start."""
-    places = np.frombuffer(relation["places"][0].as_buffer(), np.int32)
+def _extend(relation: pa.Table, idx: np.ndarray, gid: np.ndarray, buckets: int) -> pa.Table:
+    """One part's relation merge-joined with itself one place further, for places where frequent groups start; its list of pairs
+    is numbered bucket by bucket."""
+    places = _full(relation["places"][0].as_py(), np.int32)
     own, part = relation["n"][0].as_py(), relation["part"][0].as_py()
-    idx, gid = frequent["idx"].to_numpy(), frequent["gid"].to_numpy()
+    order = np.argsort(gid)
+    idx, gid = idx[order], gid[order]
     base = len(idx) + 1
     rank = np.zeros(max(places.max(initial=0), idx.max(initial=0)) + 1, np.int32)
     rank[idx] = np.arange(1, base)
@@ -146,14 +166,79 @@ def _extend(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     del here, rank
     keys, at = np.unique(pairs, return_inverse=True)
     del pairs
+    if not len(keys):
+        return _schema(_EXTENDED).empty_table()
     n = np.bincount(at[: np.searchsorted(both, own)], minlength=len(keys))
+    ga, gb = gid[keys // base - 1], gid[keys % base - 1]
+    mixed = ga.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ gb.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0x94D049BB133111EB)
+    bucket = ((mixed ^ mixed >> np.uint64(29)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(1, len(order) + 1, dtype=np.int32)
     longer = np.zeros(len(places), np.int32)
-    longer[both] = at + 1
-    found = [_batch(_EXTENDED, 1, part=part, idx=0, n=[own], places=[longer.tobytes()])] if len(keys) else []
-    found.append(_batch(_EXTENDED, len(keys), part=part, idx=np.arange(1, len(keys) + 1, dtype=np.int32), ga=gid[keys // base - 1], gb=gid[keys % base - 1], n=n))
+    longer[both] = number[at]
+    del at, both, number, mixed
+    ga, gb, n, bucket = ga[order], gb[order], n[order].astype(np.int32), bucket[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    cuts = list(zip(first.tolist(), np.append(first[1:], len(bucket)).tolist(), strict=True))
+    lists = {
+        "ga": [_shrunk(np.diff(ga[s:e], prepend=0)) for s, e in cuts],  # in order within a bucket
+        "gb": [_shrunk(gb[s:e]) for s, e in cuts],
+        "counts": [_shrunk(n[s:e]) for s, e in cuts],
+    }
+    found = [_batch(_EXTENDED, 1, part=part, n=[own], places=[_shrunk(longer)])]
+    found.append(_batch(_EXTENDED, len(cuts), part=part, bucket=bucket[first].astype(np.int32), start=(first + 1).astype(np.int32), **lists))
     return pa.Table.from_batches(found, _schema(_EXTENDED))
 
 
+def _counted(least: int, last: bool):
+    """Of one bucket the pairs of ``least`` occurrences or more in all parts, with new ids; and unless it is the ``last``
+    step, for each part the numbers of its entries that are among them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        ga = [np.cumsum(_full(x, np.int64)) for x in table["ga"].to_pylist()]
+        ends = np.cumsum([len(x) for x in ga])
+        gb, n = (np.concatenate([_full(x, kind) for x in table[name].to_pylist()]) for name, kind in (("gb", np.int64), ("counts", np.int32)))
+        begins, ra = np.unique(np.concatenate(ga), return_inverse=True)
+        rests, key = np.unique(gb, return_inverse=True)
+        del ga, gb
+        key += ra * len(rests)
+        del ra
+        keys, at = np.unique(key, return_inverse=True)
+        del key
+        a = np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)  # exact up to 2^53
+        enough = a >= least
+        seq = (np.cumsum(enough) - 1).astype(np.int32)
+        keys, a = keys[enough], a[enough]
+        gid = (bucket << 32) + np.arange(len(keys), dtype=np.int64)
+        out = [_batch(_COUNTED, len(keys), gid=gid, ga=begins[keys // len(rests)], gb=rests[keys % len(rests)], a=a)]
+        for part, start, s, e in () if last else zip(table["part"].to_pylist(), table["start"].to_pylist(), (ends - np.diff(ends, prepend=0)).tolist(), ends.tolist(), strict=True):
+            mine = np.flatnonzero(enough[at[s:e]])
+            if len(mine):
+                out.append(_batch(_COUNTED, 1, part=part, bucket=bucket, idx=[_shrunk((mine + start).astype(np.int32))], seq=[_shrunk(seq[at[s:e][mine]])]))
+        return pa.Table.from_batches(out, _schema(_COUNTED))
+
+    return run
+
+
+def _extend_part(buckets: int):
+    """The relation of a part with its frequent entries: those of single words as rows, those of phrases packed by bucket."""
+
+    def run(relation: pa.Table, frequent: pa.Table) -> pa.Table:
+        if not relation.num_rows or not frequent.num_rows:
+            return _schema(_EXTENDED).empty_table()
+        if "gid" in frequent.column_names:
+            return _extend(relation, frequent["idx"].to_numpy(), frequent["gid"].to_numpy(), buckets)
+        idx = np.concatenate([_full(x, np.int32) for x in frequent["idx"].to_pylist()])
+        gid = np.concatenate([_full(x, np.int32) + (b << 32) for x, b in zip(frequent["seq"].to_pylist(), frequent["bucket"].to_numpy().astype(np.int64), strict=True)])
+        return _extend(relation, idx, gid, buckets)
+
+    return run
+
+
 def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, part: int = PART, small: int = SMALL) -> tuple[list[DataFrame], DataFrame]:
     """Tables of frequent phrases, by number of words, and the number of all words of each group (lang, n).
 
@@ -164,38 +249,43 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
     now = stored(rows.mapInArrow(_read(longest - 1, part), _READ), compression="zstd")
     totals = stored(now.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n")))
     none = F.array().cast("array<bigint>")
+    buckets = max(BUCKETS, (totals.agg(F.sum("n").alias("n")).first()["n"] or 0) // BUCKET)
     key, tables = ["lang", "word"], []
     for k in range(1, longest + 1):
-        counts = now.where("idx > 0").groupBy(key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
         if k == 1:
+            counts = now.where("idx > 0").groupBy(key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
             found = counts.select("lang", F.col("word").alias("phrase"), "word", "a", none.alias("first"), none.alias("last"))
-            found = found.withColumns({"ga": F.lit(None).cast("bigint"), "gb": F.lit(None).cast("bigint")})
+            found = found.withColumns({"gid": F.monotonically_increasing_id(), "ga": F.lit(None).cast("bigint"), "gb": F.lit(None).cast("bigint")})
         else:
+            lists = now.where("bucket is not null").select("part", "bucket", "start", "ga", "gb", "counts")
+            counted = stored(lists.groupBy("bucket").applyInArrow(_counted(least, k == longest), _COUNTED), compression="zstd")
+            del lists
+            release(docs.sparkSession)  # the lists' shuffle files
             a = tables[-1].select(F.col("gid").alias("ga"), "lang", F.col("phrase").alias("begin"), F.concat("first", F.array("a")).alias("first"))
             b = tables[-1].select(F.col("gid").alias("gb"), "word", F.concat("last", F.array("a")).alias("last"))
-            found = counts.join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
+            found = counted.where("gid is not null").select("gid", "ga", "gb", "a").join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
         # written before its ids are used: ids of a second run could differ
-        groups = stored(found.select(F.monotonically_increasing_id().alias("gid"), "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
+        groups = stored(found.select("gid", "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
         tables.append(groups)
-        before = now
+        before = [now] if k == 1 else [now, counted]
         if k < longest:
-            frequent = groups.select("gid", *key)
-            frequent = F.broadcast(frequent) if groups.count() <= small else frequent
-            kept = now.where("idx > 0").select("part", "idx", *key).join(frequent, key).select(F.col("part").alias("into"), "idx", "gid")
+            if k == 1:
+                frequent = groups.select("gid", *key)
+                frequent = F.broadcast(frequent) if groups.count() <= small else frequent
+                kept = now.where("idx > 0").select("part", "idx", *key).join(frequent, key).select(F.col("part").alias("into"), "idx", "gid")
+            else:
+                kept = counted.where("part is not null").select(F.col("part").alias("into"), "bucket", "idx", "seq")
+            del found
+            release(docs.sparkSession)
             relation = now.where("places is not null").select("part", "n", "places")
-            now = stored(relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part, _EXTENDED), compression="zstd")
-        key = ["ga", "gb"]
-        discard(before)
+            now = stored(relation.groupBy("part").cogroup(kept.groupBy("into")).applyInArrow(_extend_part(buckets), _EXTENDED), compression="zstd")
+            del relation, kept
+        for x in before:
+            discard(x)
         release(docs.sparkSession)
     return tables, totals
 
 
-def _extend_part(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    if not relation.num_rows or not frequent.num_rows:
-        return _schema(_EXTENDED).empty_table()
-    return _extend(relation, frequent)
-
-
 def collocations(
     docs: DataFrame, *, text: str = "text", group: str = "lang", least: int = LEAST, longest: int = LONGEST, top: int = TOP, covered: int = COVERED, part: int = PART, small: int = SMALL
 ) -> DataFrame:

@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -265,3 +267,36 @@ def test_registered_packing(spark, docs):
         r["ids"] = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()
         assert r["ids_crc32"] == zlib.crc32(r["ids"])
     _packed(rows, ids, 2048)
+
+
+def test_pairs_of_all_parts_are_counted_by_bucket():
+    rng = np.random.default_rng(8)
+    idx = np.arange(1, 31, dtype=np.int32)
+    gid = (rng.permutation(30) * 7 + (5 << 33)).astype(np.int64)
+    name = dict(zip(idx.tolist(), gid.tolist(), strict=True))
+    want, lists, texts = Counter(), [], {}
+    for part in (4, 9, 11):
+        places = rng.integers(0, 40, 400).astype(np.int32)  # 0 ends a piece, above 30 is rare
+        own = 396
+        relation = pa.table({"part": [part], "n": [own], "places": [collocations._shrunk(places)]})
+        made = collocations._extend(relation, idx, gid, 4)
+        assert made.num_rows <= 5  # a row for each bucket, not for each pair
+        pairs = [(name.get(x), name.get(y)) if x in name and y in name else None for x, y in zip(places.tolist(), places.tolist()[1:], strict=False)]
+        want.update(x for x in pairs[:own] if x)
+        at = made.filter(pc.is_valid(made["places"]))["places"][0].as_py()
+        texts[part] = pairs, collocations._full(at, np.int32)
+        lists.append(made.filter(pc.is_valid(made["bucket"])))
+    lists = pa.concat_tables(lists)
+    ids, told = {}, {}
+    for b in set(lists["bucket"].to_pylist()):
+        got = collocations._counted(3, False)(lists.filter(pc.equal(lists["bucket"], b)))
+        for r in got.to_pylist():
+            if r["gid"] is not None:
+                ids[r["ga"], r["gb"]] = r["gid"], r["a"]
+            else:
+                seq = collocations._full(r["seq"], np.int32).tolist()
+                told |= {(r["part"], i): (b << 32) + x for i, x in zip(collocations._full(r["idx"], np.int32).tolist(), seq, strict=True)}
+    assert {x: a for x, (_, a) in ids.items()} == {x: a for x, a in want.items() if a >= 3}
+    assert len({x for x, _ in ids.values()}) == len(ids)
+    for part, (pairs, longer) in texts.items():
+        assert [told.get((part, i)) for i in longer.tolist()[:-1]] == [ids.get(x, (None,))[0] if x else None for x in pairs]
