@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.rows import _q, discard, few, release, stored
+from ledgerline.llm.rows import _q, discard, few, full, release, shrunk, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
@@ -55,17 +55,6 @@ _EXTENDED = "part bigint, bucket int, start int, n bigint, ga binary, gb binary,
 _COUNTED = "part bigint, bucket int, idx binary, seq binary, gid bigint, ga bigint, gb bigint, a bigint"
 
 
-def _shrunk(values: np.ndarray) -> bytes:
-    """Numbers as bytes: all first bytes, all second ones and so on, compressed."""
-    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return len(values).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _full(data: bytes, kind: type) -> np.ndarray:
-    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
-    planes = pa.decompress(data[8:], decompressed_size=n * width, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(kind).reshape(n)
-
 
 def _words(text: str, ahead: int) -> Iterator[list[bytes]]:
     """The words and piece ends of a text, in lists of bounded size; each but the last has more than ``ahead``."""
@@ -100,7 +89,7 @@ class _Part:
         self.add(lang, following)
         places = np.concatenate(self.places)
         n = np.bincount(places[:own], minlength=next(self.next))
-        yield _batch(_READ, 1, part=self.number, idx=0, n=[own], places=[_shrunk(places)])
+        yield _batch(_READ, 1, part=self.number, idx=0, n=[own], places=[shrunk(places)])
         for lang, known in self.known.items():
             del known[_END]
             words, idx = list(known), np.fromiter(known.values(), np.int32, len(known))
@@ -151,7 +140,7 @@ def _read(ahead: int, size: int):
 def _extend(relation: pa.Table, idx: np.ndarray, gid: np.ndarray, buckets: int) -> pa.Table:
     """One part's relation merge-joined with itself one place further, for places where frequent groups start; its list of pairs
     is numbered bucket by bucket."""
-    places = _full(relation["places"][0].as_py(), np.int32)
+    places = full(relation["places"][0].as_py(), np.int32)
     own, part = relation["n"][0].as_py(), relation["part"][0].as_py()
     order = np.argsort(gid)
     idx, gid = idx[order], gid[order]
@@ -184,11 +173,11 @@ def _extend(relation: pa.Table, idx: np.ndarray, gid: np.ndarray, buckets: int)
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     cuts = list(zip(first.tolist(), np.append(first[1:], len(bucket)).tolist(), strict=True))
     lists = {
-        "ga": [_shrunk(np.diff(ga[s:e], prepend=0)) for s, e in cuts],  # in order within a bucket
-        "gb": [_shrunk(gb[s:e]) for s, e in cuts],
-        "counts": [_shrunk(n[s:e]) for s, e in cuts],
+        "ga": [shrunk(np.diff(ga[s:e], prepend=0)) for s, e in cuts],  # in order within a bucket
+        "gb": [shrunk(gb[s:e]) for s, e in cuts],
+        "counts": [shrunk(n[s:e]) for s, e in cuts],
     }
-    found = [_batch(_EXTENDED, 1, part=part, n=[own], places=[_shrunk(longer)])]
+    found = [_batch(_EXTENDED, 1, part=part, n=[own], places=[shrunk(longer)])]
     found.append(_batch(_EXTENDED, len(cuts), part=part, bucket=bucket[first].astype(np.int32), start=(first + 1).astype(np.int32), **lists))
     return pa.Table.from_batches(found, _schema(_EXTENDED))
 
@@ -199,9 +188,9 @@ def _counted(least: int, last: bool):
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        ga = [np.cumsum(_full(x, np.int64)) for x in table["ga"].to_pylist()]
+        ga = [np.cumsum(full(x, np.int64)) for x in table["ga"].to_pylist()]
         ends = np.cumsum([len(x) for x in ga])
-        gb, n = (np.concatenate([_full(x, kind) for x in table[name].to_pylist()]) for name, kind in (("gb", np.int64), ("counts", np.int32)))
+        gb, n = (np.concatenate([full(x, kind) for x in table[name].to_pylist()]) for name, kind in (("gb", np.int64), ("counts", np.int32)))
         begins, ra = np.unique(np.concatenate(ga), return_inverse=True)
         rests, key = np.unique(gb, return_inverse=True)
         del ga, gb
@@ -218,7 +207,7 @@ def _counted(least: int, last: bool):
         for part, start, s, e in () if last else zip(table["part"].to_pylist(), table["start"].to_pylist(), (ends - np.diff(ends, prepend=0)).tolist(), ends.tolist(), strict=True):
             mine = np.flatnonzero(enough[at[s:e]])
             if len(mine):
-                out.append(_batch(_COUNTED, 1, part=part, bucket=bucket, idx=[_shrunk((mine + start).astype(np.int32))], seq=[_shrunk(seq[at[s:e][mine]])]))
+                out.append(_batch(_COUNTED, 1, part=part, bucket=bucket, idx=[shrunk((mine + start).astype(np.int32))], seq=[shrunk(seq[at[s:e][mine]])]))
         return pa.Table.from_batches(out, _schema(_COUNTED))
 
     return run
@@ -232,8 +221,8 @@ def _extend_part(buckets: int):
             return _schema(_EXTENDED).empty_table()
         if "gid" in frequent.column_names:
             return _extend(relation, frequent["idx"].to_numpy(), frequent["gid"].to_numpy(), buckets)
-        idx = np.concatenate([_full(x, np.int32) for x in frequent["idx"].to_pylist()])
-        gid = np.concatenate([_full(x, np.int32) + (b << 32) for x, b in zip(frequent["seq"].to_pylist(), frequent["bucket"].to_numpy().astype(np.int64), strict=True)])
+        idx = np.concatenate([full(x, np.int32) for x in frequent["idx"].to_pylist()])
+        gid = np.concatenate([full(x, np.int32) + (b << 32) for x, b in zip(frequent["seq"].to_pylist(), frequent["bucket"].to_numpy().astype(np.int64), strict=True)])
         return _extend(relation, idx, gid, buckets)
 
     return run

@@ -278,13 +278,13 @@ def test_pairs_of_all_parts_are_counted_by_bucket():
     for part in (4, 9, 11):
         places = rng.integers(0, 40, 400).astype(np.int32)  # 0 ends a piece, above 30 is rare
         own = 396
-        relation = pa.table({"part": [part], "n": [own], "places": [collocations._shrunk(places)]})
+        relation = pa.table({"part": [part], "n": [own], "places": [collocations.shrunk(places)]})
         made = collocations._extend(relation, idx, gid, 4)
         assert made.num_rows <= 5  # a row for each bucket, not for each pair
         pairs = [(name.get(x), name.get(y)) if x in name and y in name else None for x, y in zip(places.tolist(), places.tolist()[1:], strict=False)]
         want.update(x for x in pairs[:own] if x)
         at = made.filter(pc.is_valid(made["places"]))["places"][0].as_py()
-        texts[part] = pairs, collocations._full(at, np.int32)
+        texts[part] = pairs, collocations.full(at, np.int32)
         lists.append(made.filter(pc.is_valid(made["bucket"])))
     lists = pa.concat_tables(lists)
     ids, told = {}, {}
@@ -294,8 +294,8 @@ def test_pairs_of_all_parts_are_counted_by_bucket():
             if r["gid"] is not None:
                 ids[r["ga"], r["gb"]] = r["gid"], r["a"]
             else:
-                seq = collocations._full(r["seq"], np.int32).tolist()
-                told |= {(r["part"], i): (b << 32) + x for i, x in zip(collocations._full(r["idx"], np.int32).tolist(), seq, strict=True)}
+                seq = collocations.full(r["seq"], np.int32).tolist()
+                told |= {(r["part"], i): (b << 32) + x for i, x in zip(collocations.full(r["idx"], np.int32).tolist(), seq, strict=True)}
     assert {x: a for x, (_, a) in ids.items()} == {x: a for x, a in want.items() if a >= 3}
     assert len({x for x, _ in ids.values()}) == len(ids)
     for part, (pairs, longer) in texts.items():
