@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,14 +51,14 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
     A plain byte-level vocabulary whose merges stand in the order of their ids means the same as ranks to tiktoken,
     which is about five times as fast. Texts that its word pattern refuses (white space of a million signs)
-    and all other vocabularies go to the tokenizers library.
+    and all other vocabularies go to the tokenizers library, which is loaded with the first of them.
     """
     from tokenizers import Tokenizer
 
-    library = Tokenizer.from_file(path)
+    library = cache(lambda: Tokenizer.from_file(path))
 
     def slow(text: str) -> np.ndarray:
-        return np.array(library.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(library().encode(text, add_special_tokens=False).ids, np.uint32)
 
     with open(path, encoding="utf-8") as f:
         said = json.load(f)

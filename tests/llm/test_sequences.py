@@ -257,6 +257,21 @@ def test_ids_equal_those_of_the_library(docs):
     assert packing.encoder(other)("Hello  World").tolist() == Tokenizer.from_file(other).encode("Hello  World", add_special_tokens=False).ids
 
 
+def test_the_library_is_loaded_for_texts_that_need_it(monkeypatch):
+    import tokenizers
+
+    made = []
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("Counting", (), {"from_file": staticmethod(lambda path: made.append(path) or Tokenizer.from_file(path))}))
+    own = packing.encoder(BYTE_LEVEL)
+    assert own("Plain words.").tolist() == Tokenizer.from_file(BYTE_LEVEL).encode("Plain words.", add_special_tokens=False).ids
+    assert made == []
+    for text in (" " * 1_200_000, " " * 1_200_001):
+        assert len(own(text)) == len(Tokenizer.from_file(BYTE_LEVEL).encode(text, add_special_tokens=False).ids)
+    assert made == [BYTE_LEVEL]
+    word_level = public_tokenizers.path("word_bpe_49k.json")
+    assert len(packing.encoder(word_level)("Hello  World")) and made == [BYTE_LEVEL, word_level]
+
+
 def test_registered_packing(spark, docs):
     got = QUERIES["op13_packing"](spark, SF)
     assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
