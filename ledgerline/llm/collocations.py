@@ -5,17 +5,16 @@ entries at adjacent places of one piece merge into a candidate of k + 1 words; c
 groups, and only occurrences of frequent groups are extended again:
 
 1. ``_read`` writes the relation of single words, cut into parts of bounded size. Words are numbered within
-   their part; the part's list of distinct words with counts is written beside it.
-2. The lists are summed over all parts (a shuffle of distinct words a part, not of occurrences), groups below
-   ``least`` go, the rest get ids.
-3. The frequent entries of each part's own list go back to that part (semi-join), where the relation is
-   merge-joined with itself one place further: both are in text order, so no sort is needed. The new list is dealt to buckets by
-   the hash of its pairs, one packed row a bucket.
-
-Steps 2 and 3 repeat up to ``longest`` words; from two words on a bucket meets its share of all lists at once, so it sums them
-and tells each part its frequent entries in the same pass. Every relation and every table of groups is written to the shared
-folder, so a lost executor costs one step; the shuffle files of a step are given up after it. Frequent words are broadcast to the lists while they are at most ``SMALL``
-(counted); beyond that both sides are shuffled. Nothing is collected to the driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
+   their part; the part's list of distinct words with counts is written beside it, one packed row a group.
+2. The lists are dealt to buckets by the hash of their entries, one packed row a bucket (a shuffle of distinct entries a
+   part, not of occurrences). A bucket meets its share of all lists at once: it sums them, entries below ``least`` go, the
+   rest get ids, and each part is told which of its entries are among them.
+3. The frequent entries of each part's own list go back to that part, where the relation is
+   merge-joined with itself one place further: both are in text order, so no sort is needed. The new list is one of pairs.
+
+Steps 2 and 3 repeat up to ``longest`` words. Every relation and every table of groups is written to the shared
+folder, so a lost executor costs one step; the shuffle files of a step are given up after it. Nothing is collected to the
+driver. A part holds at most ``PART`` places and one slice of a text; a longer text runs on in
 the next part, which counts its own places only and sees the ``longest - 1`` words that follow.
 
 Nulls: a null text is empty, a null group is ``und``. Repeated rows count as often as they occur. Empty texts and
@@ -24,8 +23,9 @@ tables give no phrases. Other columns are not read. Equal scores are ranked by c
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import count
 
@@ -39,9 +39,10 @@ from ledgerline.llm.rows import _q, discard, few, full, release, shrunk, stored
 
 LEAST, LONGEST, TOP, COVERED = 100, 5, 2_000, 100
 PART = 1_500_000
+#: Had told when frequent words are broadcast; callers may still give it.
 SMALL = 500_000
 SLICE = 1 << 22
-#: Places whose pairs meet in one bucket, and buckets at least.
+#: Places whose words or pairs meet in one bucket, and buckets at least.
 BUCKET = 1 << 21
 BUCKETS = 32
 
@@ -50,7 +51,9 @@ _BYTES = bytes(32 if c == 9 else 10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if
 #: A byte that UTF-8 never holds stands for the end of a piece; its number is 0.
 _END = b"\xff"
 
-_READ = "part bigint, idx int, lang string, word string, n bigint, places binary"
+_READ = "part bigint, lang string, n bigint, idx binary, words binary, counts binary, places binary"
+_DEALT = "part bigint, bucket int, lang string, idx binary, words binary, counts binary"
+_COUNTED_WORDS = "part bigint, bucket int, idx binary, seq binary, gid bigint, lang string, word string, a bigint"
 _EXTENDED = "part bigint, bucket int, start int, n bigint, ga binary, gb binary, counts binary, places binary"
 _COUNTED = "part bigint, bucket int, idx binary, seq binary, gid bigint, ga bigint, gb bigint, a bigint"
 
@@ -89,13 +92,27 @@ class _Part:
         self.add(lang, following)
         places = np.concatenate(self.places)
         n = np.bincount(places[:own], minlength=next(self.next))
-        yield _batch(_READ, 1, part=self.number, idx=0, n=[own], places=[shrunk(places)])
+        yield _batch(_READ, 1, part=self.number, n=[own], places=[shrunk(places)])
         for lang, known in self.known.items():
             del known[_END]
-            words, idx = list(known), np.fromiter(known.values(), np.int32, len(known))
-            for k in range(0, len(words), 50_000):
-                at = idx[k : k + 50_000]
-                yield _batch(_READ, len(at), part=self.number, idx=at, lang=lang, word=pa.array(words[k : k + 50_000], pa.binary()).cast(pa.string()), n=n[at])
+            if known:
+                idx = np.fromiter(known.values(), np.int32, len(known))
+                yield _batch(_READ, 1, part=self.number, lang=lang, n=[n[idx].sum()], idx=[shrunk(idx)], words=[_joined(known)], counts=[shrunk(n[idx].astype(np.int32))])
+
+
+def _joined(words: Iterable[bytes]) -> bytes:
+    """Words as compressed bytes; none has a line feed."""
+    return shrunk(np.frombuffer(b"\n".join(words), np.uint8))
+
+
+def _split(data: bytes) -> list[bytes]:
+    return full(data, np.uint8).tobytes().split(b"\n")
+
+
+def _cuts(bucket: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of each run of equal numbers."""
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    return list(zip(first.tolist(), np.append(first[1:], len(bucket)).tolist(), strict=True))
 
 
 def _schema(ddl: str) -> pa.Schema:
@@ -137,6 +154,54 @@ def _read(ahead: int, size: int):
     return run
 
 
+def _dealt(buckets: int):
+    """Lists of words, cut by the hash of the words: a row for each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                words, idx, n = _split(row["words"]), full(row["idx"], np.int32), full(row["counts"], np.int32)
+                bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+                order = np.argsort(bucket, kind="stable")
+                words, idx, n, bucket = [words[x] for x in order.tolist()], idx[order], n[order], bucket[order]
+                cuts = _cuts(bucket)
+                lists = {"idx": [shrunk(idx[s:e]) for s, e in cuts], "words": [_joined(words[s:e]) for s, e in cuts], "counts": [shrunk(n[s:e]) for s, e in cuts]}
+                yield _batch(_DEALT, len(cuts), part=row["part"], lang=row["lang"], bucket=bucket[[s for s, _ in cuts]].astype(np.int32), **lists)
+
+    return run
+
+
+def _counted_words(least: int):
+    """Of one bucket the words of ``least`` occurrences or more in all parts, with new ids; and for each part the numbers of
+    its entries that are among them."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket, number = table["bucket"][0].as_py(), count()
+        known = {lang: defaultdict(number.__next__) for lang in table["lang"].unique().to_pylist()}
+        at = []
+        for lang, words in zip(table["lang"].to_pylist(), table["words"].to_pylist(), strict=True):
+            words = _split(words)
+            at.append(np.fromiter(map(known[lang].__getitem__, words), np.int32, len(words)))
+        n = np.concatenate([full(x, np.int32) for x in table["counts"].to_pylist()])
+        a = np.bincount(np.concatenate(at), weights=n).astype(np.int64)  # exact up to 2^53
+        enough = a >= least
+        seq = (np.cumsum(enough) - 1).astype(np.int32)
+        out, goes_on = [], enough.tolist()
+        for lang, own in known.items():
+            mine = np.fromiter(own.values(), np.int32, len(own))
+            mine = mine[enough[mine]]
+            words = [w for w, x in own.items() if goes_on[x]]
+            out.append(_batch(_COUNTED_WORDS, len(mine), gid=(bucket << 32) + seq[mine].astype(np.int64), lang=lang, word=pa.array(words, pa.binary()).cast(pa.string()), a=a[mine]))
+        for part, idx, x in zip(table["part"].to_pylist(), table["idx"].to_pylist(), at, strict=True):
+            mine = np.flatnonzero(enough[x])
+            if len(mine):
+                out.append(_batch(_COUNTED_WORDS, 1, part=part, bucket=bucket, idx=[shrunk(full(idx, np.int32)[mine])], seq=[shrunk(seq[x[mine]])]))
+        return pa.Table.from_batches(out, _schema(_COUNTED_WORDS))
+
+    return run
+
+
 def _extend(relation: pa.Table, idx: np.ndarray, gid: np.ndarray, buckets: int) -> pa.Table:
     """One part's relation merge-joined with itself one place further, for places where frequent groups start; its list of pairs
     is numbered bucket by bucket."""
@@ -170,8 +235,8 @@ def _extend(relation: pa.Table, idx: np.ndarray, gid: np.ndarray, buckets: int)
     longer[both] = number[at]
     del at, both, number, mixed
     ga, gb, n, bucket = ga[order], gb[order], n[order].astype(np.int32), bucket[order]
-    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-    cuts = list(zip(first.tolist(), np.append(first[1:], len(bucket)).tolist(), strict=True))
+    cuts = _cuts(bucket)
+    first = np.array([s for s, _ in cuts])
     lists = {
         "ga": [shrunk(np.diff(ga[s:e], prepend=0)) for s, e in cuts],  # in order within a bucket
         "gb": [shrunk(gb[s:e]) for s, e in cuts],
@@ -214,13 +279,11 @@ def _counted(least: int, last: bool):
 
 
 def _extend_part(buckets: int):
-    """The relation of a part with its frequent entries: those of single words as rows, those of phrases packed by bucket."""
+    """The relation of a part with its frequent entries, packed by bucket."""
 
     def run(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         if not relation.num_rows or not frequent.num_rows:
             return _schema(_EXTENDED).empty_table()
-        if "gid" in frequent.column_names:
-            return _extend(relation, frequent["idx"].to_numpy(), frequent["gid"].to_numpy(), buckets)
         idx = np.concatenate([full(x, np.int32) for x in frequent["idx"].to_pylist()])
         gid = np.concatenate([full(x, np.int32) + (b << 32) for x, b in zip(frequent["seq"].to_pylist(), frequent["bucket"].to_numpy().astype(np.int64), strict=True)])
         return _extend(relation, idx, gid, buckets)
@@ -232,38 +295,35 @@ def frequent_phrases(docs: DataFrame, *, text: str = "text", group: str = "lang"
     """Tables of frequent phrases, by number of words, and the number of all words of each group (lang, n).
 
     A table has gid, lang, phrase, word (the last one), a (occurrences), first (occurrences of the first 1, 2, ... words)
-    and last (of the last 1, 2, ... words).
+    and last (of the last 1, 2, ... words). ``small`` has no effect any more.
     """
     rows = docs.select(F.coalesce(F.col(_q(group)).cast("string"), F.lit("und")), F.coalesce(F.col(_q(text)).cast("string"), F.lit("")))
     now = stored(rows.mapInArrow(_read(longest - 1, part), _READ), compression="zstd")
-    totals = stored(now.where("word is not null").groupBy("lang").agg(F.sum("n").alias("n")))
+    totals = stored(now.where("words is not null").groupBy("lang").agg(F.sum("n").alias("n")))
     none = F.array().cast("array<bigint>")
     buckets = max(BUCKETS, (totals.agg(F.sum("n").alias("n")).first()["n"] or 0) // BUCKET)
-    key, tables = ["lang", "word"], []
+    tables = []
     for k in range(1, longest + 1):
         if k == 1:
-            counts = now.where("idx > 0").groupBy(key).agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-            found = counts.select("lang", F.col("word").alias("phrase"), "word", "a", none.alias("first"), none.alias("last"))
-            found = found.withColumns({"gid": F.monotonically_increasing_id(), "ga": F.lit(None).cast("bigint"), "gb": F.lit(None).cast("bigint")})
+            lists = now.where("words is not null").select("part", "lang", "idx", "words", "counts").mapInArrow(_dealt(buckets), _DEALT)
+            counted = lists.groupBy("bucket").applyInArrow(_counted_words(least), _COUNTED_WORDS)
         else:
             lists = now.where("bucket is not null").select("part", "bucket", "start", "ga", "gb", "counts")
-            counted = stored(lists.groupBy("bucket").applyInArrow(_counted(least, k == longest), _COUNTED), compression="zstd")
-            del lists
-            release(docs.sparkSession)  # the lists' shuffle files
+            counted = lists.groupBy("bucket").applyInArrow(_counted(least, k == longest), _COUNTED)
+        counted = stored(counted, compression="zstd")  # written before its ids are used: ids of a second run could differ
+        del lists
+        release(docs.sparkSession)  # the lists' shuffle files
+        found = counted.where("gid is not null")
+        if k == 1:
+            found = found.withColumns({"phrase": F.col("word"), "first": none, "last": none, "ga": F.lit(None).cast("bigint"), "gb": F.lit(None).cast("bigint")})
+        else:
             a = tables[-1].select(F.col("gid").alias("ga"), "lang", F.col("phrase").alias("begin"), F.concat("first", F.array("a")).alias("first"))
             b = tables[-1].select(F.col("gid").alias("gb"), "word", F.concat("last", F.array("a")).alias("last"))
-            found = counted.where("gid is not null").select("gid", "ga", "gb", "a").join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
-        # written before its ids are used: ids of a second run could differ
-        groups = stored(found.select("gid", "ga", "gb", "lang", "phrase", "word", "a", "first", "last"))
-        tables.append(groups)
-        before = [now] if k == 1 else [now, counted]
+            found = found.select("gid", "ga", "gb", "a").join(a, "ga").join(b, "gb").withColumn("phrase", F.concat_ws(" ", "begin", "word"))
+        tables.append(stored(found.select("gid", "ga", "gb", "lang", "phrase", "word", "a", "first", "last")))
+        before = [now, counted]
         if k < longest:
-            if k == 1:
-                frequent = groups.select("gid", *key)
-                frequent = F.broadcast(frequent) if groups.count() <= small else frequent
-                kept = now.where("idx > 0").select("part", "idx", *key).join(frequent, key).select(F.col("part").alias("into"), "idx", "gid")
-            else:
-                kept = counted.where("part is not null").select(F.col("part").alias("into"), "bucket", "idx", "seq")
+            kept = counted.where("part is not null").select(F.col("part").alias("into"), "bucket", "idx", "seq")
             del found
             release(docs.sparkSession)
             relation = now.where("places is not null").select("part", "n", "places")

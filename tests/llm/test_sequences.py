@@ -315,3 +315,48 @@ def test_pairs_of_all_parts_are_counted_by_bucket():
     assert len({x for x, _ in ids.values()}) == len(ids)
     for part, (pairs, longer) in texts.items():
         assert [told.get((part, i)) for i in longer.tolist()[:-1]] == [ids.get(x, (None,))[0] if x else None for x in pairs]
+
+
+def test_words_of_all_parts_are_counted_by_bucket():
+    rng = np.random.default_rng(9)
+    want, lists, texts = Counter(), [], {}
+    for number in (4, 9, 11):
+        part, own, texts[number] = collocations._Part(number), [], []
+        for lang in ("en", "line\nfeed", "en", "de"):
+            words = [b"\xff" if x == 0 else b"w%d" % x for x in rng.integers(0, 40, 60).tolist()] + [b"rare%d" % number]
+            part.add(lang, words)
+            own += [None if w == b"\xff" else (lang, w.decode()) for w in words]
+        texts[number] = own + [("", "after")]
+        want.update(x for x in own if x)
+        made = pa.Table.from_batches(list(part.rows("", [b"after"])))
+        assert made.num_rows == 5 and sum(made["n"].to_pylist()[1:]) == sum(x is not None for x in own)  # a row for each group, not for each word
+        places = collocations.full(made["places"][0].as_py(), np.int32).tolist()
+        texts[number] = list(zip(places, texts[number], strict=True))
+        made = made.filter(pc.is_valid(made["words"])).select(["part", "lang", "idx", "words", "counts"])
+        lists += collocations._dealt(4)(iter(made.to_batches()))
+    lists = pa.Table.from_batches(lists)
+    assert lists.num_rows <= 3 * 4 * 4
+    ids, told = {}, {}
+    for b in set(lists["bucket"].to_pylist()):
+        for r in collocations._counted_words(3)(lists.filter(pc.equal(lists["bucket"], b))).to_pylist():
+            if r["gid"] is not None:
+                assert (r["lang"], r["word"]) not in ids
+                ids[r["lang"], r["word"]] = r["gid"], r["a"]
+            else:
+                seq = collocations.full(r["seq"], np.int32).tolist()
+                told |= {(r["part"], i): (b << 32) + x for i, x in zip(collocations.full(r["idx"], np.int32).tolist(), seq, strict=True)}
+    assert {x: a for x, (_, a) in ids.items()} == {x: a for x, a in want.items() if a >= 3}
+    assert len({x for x, _ in ids.values()}) == len(ids)
+    for number, own in texts.items():
+        assert [told.get((number, place)) for place, _ in own] == [ids.get(x, (None,))[0] for _, x in own]
+
+
+def test_frequent_words_reach_their_parts_without_a_join(spark, monkeypatch):
+    """A join of the lists with the frequent words makes a row for each entry of each part that is frequent."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    by, real = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, other, on=None, how=None: by.append(on) or real(self, other, on, how))
+    df = spark.createDataFrame([("en", "a b c. " * 9)], "lang string, text string")
+    tables, _ = collocations.frequent_phrases(df, least=3)
+    assert [t.count() for t in tables] == [3, 2, 1, 0, 0] and by and all(x in ("ga", "gb") for x in by)
